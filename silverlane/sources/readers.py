@@ -13,7 +13,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """CSV with a header. A given schema saves the extra pass that infers one."""
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
     if schema is None:
-        return reader.option("inferSchema", True).option("timestampType", "TIMESTAMP_NTZ").csv(path)
+        return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
 
 

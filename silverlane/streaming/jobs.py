@@ -41,33 +41,29 @@ def start_append(df: DataFrame, path: str, checkpoint: str, drain: bool = True)
     return writer.start(path)
 
 
-def medallion_batch(
-    rules: list[Rule], as_of: date, silver: str, quarantine: str
-) -> Callable[[DataFrame, int], None]:
-    """Batch function: validate, flag, and split rows over trusted layer and quarantine.
+def medallion_batch(rules: list[Rule], as_of: date, base: str) -> Callable[[DataFrame, int], None]:
+    """Batch function: validate, flag, and write rows to ``layer=silver`` or ``layer=quarantine``.
 
-    Output is partitioned by batch id and a batch overwrites only its own
-    partitions, so a replayed batch leaves one copy.
+    Both layers come from one pass. Output is partitioned by batch id and a batch
+    overwrites only its own partitions, so a replayed batch leaves one copy.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        checked = suspicious_flags(with_errors(batch, rules, as_of)).withColumn("batch_id", F.lit(batch_id))
-        for rows, path in (
-            (checked.filter(F.size(ERRORS) == 0).drop(ERRORS), silver),
-            (checked.filter(F.size(ERRORS) > 0), quarantine),
-        ):
-            (
-                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id").parquet(path)
-            )
+        checked = suspicious_flags(with_errors(batch, rules, as_of)).withColumns({
+            "layer": F.when(F.size(ERRORS) == 0, F.lit("silver")).otherwise(F.lit("quarantine")),
+            "batch_id": F.lit(batch_id),
+        })
+        (
+            checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("layer", "batch_id").parquet(base)
+        )
 
     return process
 
 
 def stream_medallion(
-    stream: DataFrame, rules: list[Rule], as_of: date, silver: str, quarantine: str, checkpoint: str,
-    drain: bool = True,
+    stream: DataFrame, rules: list[Rule], as_of: date, base: str, checkpoint: str, drain: bool = True
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(medallion_batch(rules, as_of, silver, quarantine)).option(
+    writer = stream.writeStream.foreachBatch(medallion_batch(rules, as_of, base)).option(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=TRIGGER)).start()
