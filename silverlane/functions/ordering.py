@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from silverlane.columns import ROW_SEQ
 
-EDGES = 64
+MIN_EDGES, MAX_EDGES = 16, 32
 SKETCH_ACCURACY = 10_000
 MAX_DISTINCT = 1_000_000
 MAX_ROUNDS = 6
@@ -32,8 +32,9 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def edge_values(df: DataFrame, column: str, edges: int = EDGES) -> list[float]:
-    """Distinct approximate quantiles of a column: at most ``edges`` + 1 numbers."""
+def edge_values(df: DataFrame, column: str, buckets: int) -> list[float]:
+    """Distinct approximate quantiles of a column: at most MAX_EDGES + 1 numbers."""
+    edges = min(MAX_EDGES, max(MIN_EDGES, buckets // 8))
     steps = [i / edges for i in range(1, edges)]
     row = df.agg(
         F.min(_number(column)).alias("low"),
@@ -45,28 +46,27 @@ def edge_values(df: DataFrame, column: str, edges: int = EDGES) -> list[float]:
     return sorted({row["low"], row["high"], *row["mid"]})
 
 
-def bucket_of(value: Column, edges: list[float], buckets: int) -> Column:
-    """Bucket id that never falls as ``value`` grows.
+def bucket_of(column: str, edges: list[float], buckets: int) -> Column:
+    """Bucket id that never falls as the column grows.
 
     A decision tree finds the interval between two edges, which a linear step
     then divides, so the number of buckets is not limited by the tree.
     """
-    number = value.cast("double")
     if len(edges) < 2:
         return F.lit(0).cast("bigint")
     intervals = len(edges) - 1
     fine = max(1, math.ceil(buckets / intervals))
+    value = f"CAST(`{column}` AS DOUBLE)"
 
-    def tree(first: int, last: int) -> Column:
+    def tree(first: int, last: int) -> str:
         if last - first == 1:
             low, high = edges[first], edges[last]
-            step = F.floor((number - F.lit(low)) * F.lit(fine / (high - low)))
-            inner = F.greatest(F.lit(0), F.least(F.lit(fine - 1), step))
-            return (F.lit(first * fine) + inner).cast("bigint")
+            step = f"floor(({value} - {low!r}D) * {fine / (high - low)!r}D)"
+            return f"{first * fine}L + greatest(0L, least({fine - 1}L, {step}))"
         middle = (first + last) // 2
-        return F.when(number < F.lit(edges[middle]), tree(first, middle)).otherwise(tree(middle, last))
+        return f"CASE WHEN {value} < {edges[middle]!r}D THEN {tree(first, middle)} ELSE {tree(middle, last)} END"
 
-    return tree(0, intervals)
+    return F.expr(tree(0, intervals))
 
 
 @dataclass
@@ -204,18 +204,18 @@ def _order_values(df: DataFrame, brackets: dict[str, _Bracket]) -> list[tuple[st
 def value_ranks(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Per distinct value: ``n`` rows holding it and ``upto`` rows at or below it."""
     buckets = buckets or default_buckets(df)
-    edges = edge_values(df, column)
+    edges = edge_values(df, column, buckets)
     counted = (
         df.filter(_number(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", bucket_of(F.col("value"), edges, buckets))
+        .withColumn("bucket", bucket_of("value", edges, buckets))
     )
     in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counted.groupBy("bucket")
         .agg(F.sum("n").alias("bucket_rows"))
-        # one row per bucket, at most buckets + EDGES rows
+        # one row per bucket, at most buckets + MAX_EDGES rows
         .select("bucket", F.coalesce(F.sum("bucket_rows").over(in_order), F.lit(0)).alias("before"))
     )
     running = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -232,7 +232,7 @@ def carry_forward(df: DataFrame, columns: list[str], order: str = ROW_SEQ, bucke
         return df
     buckets = buckets or default_buckets(df)
     bucket = "_order_bucket"
-    placed = df.withColumn(bucket, bucket_of(F.col(order), edge_values(df, order), buckets))
+    placed = df.withColumn(bucket, bucket_of(order, edge_values(df, order, buckets), buckets))
     so_far = Window.partitionBy(bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = placed.withColumns({name: F.last(name, ignorenulls=True).over(so_far) for name in columns})
 
@@ -244,7 +244,7 @@ def carry_forward(df: DataFrame, columns: list[str], order: str = ROW_SEQ, bucke
     earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     carried = last_rows.select(
         bucket,
-        # one row per bucket, at most buckets + EDGES rows
+        # one row per bucket, at most buckets + MAX_EDGES rows
         *[F.last(name, ignorenulls=True).over(earlier).alias(f"_carried_{name}") for name in columns],
     )
     filled = within.join(F.broadcast(carried), bucket, "left")

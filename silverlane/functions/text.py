@@ -25,11 +25,8 @@ CATEGORY_PATTERNS = (
 # The guard keeps text that cannot parse away from the parser, which would
 # otherwise raise and catch an exception for every such row.
 DATETIME_SHAPES = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z", "yyyy-M-d"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z", "yyyy-M-d H:m:s"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z", "yyyy-M-d'T'H:m:s"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\.[0-9]{1,6}\z", "yyyy-M-d H:m:s.[SSSSSS][SSSSS][SSSS][SSS][SS][S]"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\.[0-9]{1,6}\z", "yyyy-M-d'T'H:m:s.[SSSSSS][SSSSS][SSSS][SSS][SS][S]"),
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?)?\z",
+     "yyyy-M-d[ ]['T'][H:m:s][.SSSSSS]"),
     (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}\z", "yyyy/M/d"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z", "M/d/yyyy"),
     (r"^[0-9]{8}\z", "yyyyMMdd"),

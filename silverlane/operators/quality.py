@@ -30,7 +30,7 @@ RECOMMENDATIONS = {
     "business_rules": "Review business rules and data validation logic",
 }
 
-INGESTED_AT = "_ingestion_timestamp"
+INGEST_TIME = "_ingestion_timestamp"
 
 
 def _rows(wide: DataFrame, by: list[str], structs: list[Column]) -> DataFrame:
@@ -140,7 +140,7 @@ def _seconds_until(as_of: datetime, moment: Column) -> Column:
 
 def freshness_ingest(df: DataFrame, as_of: datetime) -> DataFrame:
     """Hours since the last ingest; fresh below a day."""
-    hours = _seconds_until(as_of, F.max(INGESTED_AT)) / 3600
+    hours = _seconds_until(as_of, F.max(INGEST_TIME)) / 3600
     return df.agg(
         F.round(hours, 4).alias("hours_since_ingestion"), F.coalesce(hours < FRESH_HOURS, F.lit(False)).alias("passed")
     )
@@ -224,9 +224,9 @@ def scorecard(
         *[_kinds(name).alias(f"k{i}") for i, name in enumerate(text)],
         *_date_measures(df, dates),
     ]
-    has_ingest = INGESTED_AT in df.columns
+    has_ingest = INGEST_TIME in df.columns
     if has_ingest:
-        measures.append(F.max(INGESTED_AT).alias("_latest_ingest"))
+        measures.append(F.max(INGEST_TIME).alias("_latest_ingest"))
     wide = scoped.groupBy(*group).agg(*measures)
     copies = duplicates(scoped, group, fingerprint).select(*group, F.col("passed").alias("_few_copies"))
     joined = wide.join(copies, group)

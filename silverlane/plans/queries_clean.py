@@ -37,7 +37,7 @@ def _dirty(spark, sf_dir):
 
 
 @query("null_profile", with_views(["txn_dirty"], " UNION ALL ".join(
-    f"SELECT '{name}' AS column, count(*) AS null_count FROM txn_dirty WHERE {name} IS NULL HAVING count(*) > 0"
+    f"SELECT '{name}' AS \"column\", count(*) AS null_count FROM txn_dirty WHERE {name} IS NULL HAVING count(*) > 0"
     for name in BUSINESS)))
 def null_profile(spark, sf_dir):
     return cleaning.null_profile(_dirty(spark, sf_dir))
@@ -88,7 +88,7 @@ def parse_datetime(spark, sf_dir):
 
 
 @query("date_parse_stats", with_views(["txn_dirty"], f"""
-    SELECT 'transaction_date' AS column, count({_DATE.format('transaction_date')}) AS parsed,
+    SELECT 'transaction_date' AS "column", count({_DATE.format('transaction_date')}) AS parsed,
         count(*) FILTER (WHERE {_DATE.format('transaction_date')} IS NULL) AS failed FROM filled""",
     filled=FILLED_SQL))
 def date_parse_stats(spark, sf_dir):

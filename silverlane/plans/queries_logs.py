@@ -76,7 +76,8 @@ _PERIOD_SQL = "timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-2
 @query("audit_report", with_views(["audit_log"], f"""
     SELECT count(*) AS total_events, count(*) FILTER (WHERE success) AS successful_events,
         count(*) FILTER (WHERE NOT success) AS failed_events,
-        round(count(*) FILTER (WHERE success) / count(*), 6) AS success_rate, 'GDPR' AS compliance_level
+        CASE WHEN count(*) = 0 THEN 0 ELSE round(count(*) FILTER (WHERE success) / count(*), 6) END AS success_rate,
+        'GDPR' AS compliance_level
     FROM audit_log WHERE {_PERIOD_SQL} AND compliance_level = 'GDPR'"""))
 def audit_report(spark, sf_dir):
     return audit.audit_report(view(spark, sf_dir, "audit_log"), *PERIOD, level="GDPR")

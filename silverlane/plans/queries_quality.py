@@ -57,7 +57,7 @@ _RULE_ROWS_SQL = " UNION ALL ".join([
 
 def _landed(spark, sf_dir):
     return view(spark, sf_dir, "txn_gaps").withColumn(
-        quality.INGESTED_AT, F.lit(LANDED_AT).cast("timestamp_ntz"))
+        quality.INGEST_TIME, F.lit(LANDED_AT).cast("timestamp_ntz"))
 
 
 @query("dq_schema_check", with_views(["txn_gaps"], """
@@ -100,12 +100,12 @@ _one_rule("date_span_rule", EXTRA_RULES[2],
 
 _GAP_COLUMNS = ("account_id", "transaction_id", "transaction_date", "amount", "description", "transaction_type")
 _COMPLETE_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS non_null_count, count(*) AS total_count, "
+    f"SELECT '{c}' AS \"column\", count({c}) AS non_null_count, count(*) AS total_count, "
     f"count({c}) / count(*) AS completeness FROM txn_gaps" for c in _GAP_COLUMNS)
 
 
 @query("dq_completeness", with_views(["txn_gaps"], f"""
-    SELECT column, non_null_count, total_count, round(completeness, 6) AS completeness FROM ({_COMPLETE_SQL})"""))
+    SELECT "column", non_null_count, total_count, round(completeness, 6) AS completeness FROM ({_COMPLETE_SQL})"""))
 def dq_completeness(spark, sf_dir):
     rows = quality.completeness(view(spark, sf_dir, "txn_gaps"))
     return rows.withColumn("completeness", F.round("completeness", 6))
@@ -145,7 +145,7 @@ _DIRTY_TEXT = ("account_id", "transaction_id", "transaction_date", "amount", "de
 
 
 @query("dq_type_consistency", with_views(["txn_dirty"], " UNION ALL ".join(
-    f"SELECT '{c}' AS column, CAST(count(DISTINCT {_kind_sql(c)}) AS INTEGER) AS kinds, "
+    f"SELECT '{c}' AS \"column\", CAST(count(DISTINCT {_kind_sql(c)}) AS INTEGER) AS kinds, "
     f"count(DISTINCT {_kind_sql(c)}) <= 1 AS passed FROM txn_dirty" for c in _DIRTY_TEXT)))
 def dq_type_consistency(spark, sf_dir):
     return quality.type_consistency(view(spark, sf_dir, "txn_dirty"))
@@ -160,7 +160,7 @@ def dq_freshness_ingest(spark, sf_dir):
 
 
 @query("dq_freshness_business", with_views(["txn_gaps"], """
-    SELECT 'transaction_date' AS column,
+    SELECT 'transaction_date' AS "column",
         CAST(floor(epoch(TIMESTAMP '2001-08-03' - max(transaction_date)) / 86400) AS BIGINT) AS days_since_latest,
         TIMESTAMP '2001-08-03' - max(transaction_date) < INTERVAL 7 DAY AS passed FROM txn_gaps"""))
 def dq_freshness_business(spark, sf_dir):

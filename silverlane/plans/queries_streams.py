@@ -17,7 +17,7 @@ LATE_DELAY = "1 hour"
 
 def _stream(spark, sf_dir, name: str, columns: list[tuple[str, str]]):
     schema = table(spark, sf_dir, name).schema
-    stream = jobs.file_stream(spark, f"{sf_dir}/{name}.parquet", schema)
+    stream = jobs.file_stream(spark, f"{sf_dir}/{name}.parquet*", schema)
     return stream.selectExpr(*[f"{expression} AS {alias}" for alias, expression in columns])
 
 

@@ -29,7 +29,7 @@ PHRASES = (
 def _choose(key: str, values: tuple[str, ...]) -> str:
     """CASE that picks a value by ``key`` modulo their number."""
     arms = " ".join(f"WHEN {i} THEN '{value}'" for i, value in enumerate(values))
-    return f"CASE {key} % {len(values)} {arms} END"
+    return f"CASE ({key}) % {len(values)} {arms} END"
 
 
 def _text(expression: str) -> str:
@@ -111,7 +111,7 @@ TXN_YEARLY = [
 
 _FIN_AMOUNT = (
     "CASE WHEN o_orderkey % 17 = 0 THEN 0.0E0 WHEN o_orderkey % 71 = 0 THEN 1000000.01E0 "
-    "WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 60 AS DOUBLE) * 1000 ELSE o_totalprice / 20 END"
+    "WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 60 AS DOUBLE) * 1000 ELSE CAST(floor(o_totalprice / 20) AS DOUBLE) + 0.25E0 END"
 )
 FIN_TXN = [
     ("transaction_id",

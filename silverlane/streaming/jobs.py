@@ -22,7 +22,7 @@ FRAUD_DELAY = "30 seconds"
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Parquet files as a stream, by file arrival."""
+    """Parquet files as a stream, by file arrival; ``path`` is a folder or a glob."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
