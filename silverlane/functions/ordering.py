@@ -10,15 +10,16 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from silverlane.columns import ROW_SEQ
 
 MIN_EDGES, MAX_EDGES = 16, 32
 SKETCH_ACCURACY = 10_000
-MAX_DISTINCT = 1_000_000
+MAX_BRACKET_ROWS = 1_000_000
 MAX_ROUNDS = 6
 
 
@@ -32,18 +33,22 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def edge_values(df: DataFrame, column: str, buckets: int) -> list[float]:
-    """Distinct approximate quantiles of a column: at most MAX_EDGES + 1 numbers."""
+def edge_measures(column: str, buckets: int) -> list[Column]:
+    """Aggregates that ``edge_values`` turns into bucket edges."""
     edges = min(MAX_EDGES, max(MIN_EDGES, buckets // 8))
     steps = [i / edges for i in range(1, edges)]
-    row = df.agg(
+    return [
         F.min(_number(column)).alias("low"),
         F.max(_number(column)).alias("high"),
         F.percentile_approx(_number(column), steps, SKETCH_ACCURACY).alias("mid"),
-    ).first()
-    if row["low"] is None:
+    ]
+
+
+def edge_values(measured: Row) -> list[float]:
+    """Distinct approximate quantiles of a column: at most MAX_EDGES + 1 numbers."""
+    if measured["low"] is None:
         return []
-    return sorted({row["low"], row["high"], *row["mid"]})
+    return sorted({measured["low"], measured["high"], *measured["mid"]})
 
 
 def bucket_of(column: str, edges: list[float], buckets: int) -> Column:
@@ -84,7 +89,6 @@ class _Bracket:
     high: float
     below: int
     inside: int
-    distinct: int
     ranks: tuple[int, int]
     share: float
 
@@ -92,7 +96,9 @@ class _Bracket:
         return column.between(F.lit(self.low), F.lit(self.high))
 
 
-def exact_quantiles(df: DataFrame, fractions: dict[str, float], max_distinct: int = MAX_DISTINCT) -> dict[str, Quantile]:
+def exact_quantiles(
+    df: DataFrame, fractions: dict[str, float], max_rows: int = MAX_BRACKET_ROWS
+) -> dict[str, Quantile]:
     """Exact quantiles with linear interpolation, for several columns at once.
 
     Sketches only narrow the range to look in; the counts that decide are exact.
@@ -109,7 +115,6 @@ def exact_quantiles(df: DataFrame, fractions: dict[str, float], max_distinct: in
             F.count(value).alias(f"n{i}"),
             F.min(value).alias(f"low{i}"),
             F.max(value).alias(f"high{i}"),
-            F.approx_count_distinct(value).alias(f"d{i}"),
         ]
     first = df.agg(*measures).first()
     brackets: dict[str, _Bracket] = {}
@@ -120,21 +125,26 @@ def exact_quantiles(df: DataFrame, fractions: dict[str, float], max_distinct: in
         if count:
             position = (count - 1) * fractions[name]
             brackets[name] = _Bracket(
-                first[f"low{i}"], first[f"high{i}"], 0, count, first[f"d{i}"],
+                first[f"low{i}"], first[f"high{i}"], 0, count,
                 (math.floor(position), math.ceil(position)), position - math.floor(position),
             )
+    wide = [name for name, b in brackets.items() if b.inside > max_rows]
     for _ in range(MAX_ROUNDS):
-        wide = [name for name in brackets if brackets[name].distinct > max_distinct]
-        if not wide or not _narrow(df, brackets, wide):
+        if not wide:
             break
+        wide = [name for name in _narrow(df, brackets, wide) if brackets[name].inside > max_rows]
     for name, low, high in _order_values(df, brackets):
         share = brackets[name].share
         results[name].value = low if share == 0 else low + (high - low) * share
     return results
 
 
-def _narrow(df: DataFrame, brackets: dict[str, _Bracket], names: list[str]) -> bool:
-    """One narrowing round; false when no bracket became smaller."""
+def _narrow(df: DataFrame, brackets: dict[str, _Bracket], names: list[str]) -> list[str]:
+    """One narrowing round; returns the columns whose range at least halved.
+
+    A range that does not shrink holds few values many times over, and those
+    collapse to one row each when they are counted.
+    """
     slack = 5 / SKETCH_ACCURACY
     sketches = []
     for name in names:
@@ -148,22 +158,21 @@ def _narrow(df: DataFrame, brackets: dict[str, _Bracket], names: list[str]) -> b
     for i, name in enumerate(names):
         low, high = proposed[name]
         value = _number(name)
-        inside = value.between(F.lit(low), F.lit(high))
         checks += [
             F.count_if(value < F.lit(low)).alias(f"below{i}"),
-            F.count_if(inside).alias(f"inside{i}"),
-            F.approx_count_distinct(F.when(inside, value)).alias(f"d{i}"),
+            F.count_if(value.between(F.lit(low), F.lit(high))).alias(f"inside{i}"),
         ]
     counted = df.agg(*checks).first()
-    smaller = False
+    halved = []
     for i, name in enumerate(names):
         b = brackets[name]
         below, inside = counted[f"below{i}"], counted[f"inside{i}"]
         if below <= b.ranks[0] and b.ranks[1] < below + inside and inside < b.inside:
+            if inside * 2 <= b.inside:
+                halved.append(name)
             b.low, b.high = proposed[name]
-            b.below, b.inside, b.distinct = below, inside, counted[f"d{i}"]
-            smaller = True
-    return smaller
+            b.below, b.inside = below, inside
+    return halved
 
 
 def _order_values(df: DataFrame, brackets: dict[str, _Bracket]) -> list[tuple[str, float, float]]:
@@ -204,7 +213,7 @@ def _order_values(df: DataFrame, brackets: dict[str, _Bracket]) -> list[tuple[st
 def value_ranks(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Per distinct value: ``n`` rows holding it and ``upto`` rows at or below it."""
     buckets = buckets or default_buckets(df)
-    edges = edge_values(df, column, buckets)
+    edges = edge_values(df.agg(*edge_measures(column, buckets)).first())
     counted = (
         df.filter(_number(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
@@ -227,12 +236,19 @@ def value_ranks(df: DataFrame, column: str, buckets: int | None = None) -> DataF
 
 
 def carry_forward(df: DataFrame, columns: list[str], order: str = ROW_SEQ, buckets: int | None = None) -> DataFrame:
-    """Replace nulls by the last value before them in row order; leading nulls stay."""
+    """Replace nulls by the last value before them in row order; leading nulls stay.
+
+    Rows are only shuffled when one of the columns has a null.
+    """
     if not columns:
         return df
     buckets = buckets or default_buckets(df)
+    missing = F.count_if(reduce(Column.__or__, [F.col(name).isNull() for name in columns])).alias("missing")
+    measured = df.agg(missing, *edge_measures(order, buckets)).first()
+    if measured["missing"] == 0:
+        return df
     bucket = "_order_bucket"
-    placed = df.withColumn(bucket, bucket_of(order, edge_values(df, order, buckets), buckets))
+    placed = df.withColumn(bucket, bucket_of(order, edge_values(measured), buckets))
     so_far = Window.partitionBy(bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = placed.withColumns({name: F.last(name, ignorenulls=True).over(so_far) for name in columns})
 

@@ -58,7 +58,7 @@ def audit_events(actions: DataFrame, source_system: str = "silverlane") -> DataF
     ``actions`` has timestamp, user_id, action, resource, data_classification,
     compliance_level, record_count, success, error_message and optionally a
     ``metadata`` map. The hash covers resource, action, count and time; the id is
-    a hash as well, so a repeated run writes the same ids.
+    a hash as well, so a repeated run has the same ids.
     """
     moment = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     content = F.concat_ws(":", "resource", "action", F.col("record_count").cast("string"), moment)
@@ -72,11 +72,6 @@ def audit_events(actions: DataFrame, source_system: str = "silverlane") -> DataF
     )
 
 
-def append_rows(rows: DataFrame, path: str) -> None:
-    """Append to a log table."""
-    rows.write.mode("append").parquet(path)
-
-
 def lineage_records(steps: DataFrame, retention_days: int = RETENTION_DAYS) -> DataFrame:
     """Lineage rows with their retention date.
 

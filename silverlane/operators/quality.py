@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from silverlane.columns import business_columns, ratio
 from silverlane.functions.rules import ERRORS, Rule, errors, predicate
 from silverlane.functions.text import to_datetime, value_kind
+from silverlane.operators.schema import failed_rows
 
 # Pass marks of the checks and advice for failed ones.
 RULE_PASS = 0.95
@@ -183,16 +185,11 @@ def freshness_business(df: DataFrame, as_of: datetime, by: list[str] | None = No
     return _rows(wide, by, structs).filter(F.col("unparsed") == 0).drop("unparsed")
 
 
-def schema_check(df: DataFrame, schema_rules: list[Rule] | None, as_of=None) -> DataFrame:
-    """1 when every row meets the schema, else 0; 0 too when there is no schema."""
-    if schema_rules is None:
-        failed = _total()
-        return df.agg(failed.alias("failed_rows"), F.lit(0.0).alias("score"), F.lit(False).alias("passed"))
-    failed = F.count_if(F.size(errors(df.schema, schema_rules, as_of)) > 0)
-    return df.agg(
-        failed.alias("failed_rows"), F.when(failed == 0, 1.0).otherwise(0.0).alias("score"),
-        (failed == 0).alias("passed"),
-    )
+def schema_check(df: DataFrame, fields: list[Any] | None) -> DataFrame:
+    """1 when columns and rows all meet the schema, else 0; 0 too when there is no schema."""
+    failed = failed_rows(df, fields)
+    met = (failed == 0) if fields else F.lit(False)
+    return df.agg(failed.alias("failed_rows"), F.when(met, 1.0).otherwise(0.0).alias("score"), met.alias("passed"))
 
 
 def _mean(parts: list[Column], empty: float) -> Column:
@@ -200,11 +197,13 @@ def _mean(parts: list[Column], empty: float) -> Column:
 
 
 def scorecard(
-    df: DataFrame, rules: list[Rule], schema_rules: list[Rule] | None, as_of: datetime,
+    df: DataFrame, rules: list[Rule], fields: list[Any] | None, as_of: datetime,
     threshold: float = THRESHOLD, by: list[str] | None = None, fingerprint: str | None = None,
 ) -> DataFrame:
     """Score and verdict of the five checks and overall, per group of ``by``.
 
+    ``fields`` are the field rows of the schema to meet, None for no schema.
+
     Everything but the duplicate count is one aggregation without a shuffle of
     rows. The two results have one row per group and are joined on it.
     """
@@ -213,12 +212,9 @@ def scorecard(
     scoped = df if by else df.withColumn("_scope", F.lit("all"))
     names = [name for name in business_columns(df) if name not in by]
     text, dates = _text_columns(df, by), _date_names(df, by)
-    schema_failed = (
-        _total() if schema_rules is None else F.count_if(F.size(errors(df.schema, schema_rules, as_of)) > 0)
-    )
     measures = [
         _total().alias("_rows_total"),
-        schema_failed.alias("_schema_failed"),
+        failed_rows(df, fields).alias("_schema_failed"),
         *[_passed_rows(df, rule, as_of).alias(f"r{i}") for i, rule in enumerate(rules)],
         *[F.count(F.col(name)).alias(f"n{i}") for i, name in enumerate(names)],
         *[_kinds(name).alias(f"k{i}") for i, name in enumerate(text)],
@@ -232,10 +228,7 @@ def scorecard(
     joined = wide.join(copies, group)
 
     total = F.col("_rows_total")
-    if schema_rules is None:
-        schema_score = F.lit(0.0)
-    else:
-        schema_score = F.when(F.col("_schema_failed") == 0, 1.0).otherwise(0.0)
+    schema_score = F.when(F.col("_schema_failed") == 0, 1.0).otherwise(0.0) if fields else F.lit(0.0)
     rule_score = _mean([ratio(F.col(f"r{i}"), total) for i in range(len(rules))], 1.0)
     complete_score = _mean([ratio(F.col(f"n{i}"), total) for i in range(len(names))], 1.0)
     one_kind = F.lit(True)

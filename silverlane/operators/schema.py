@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlane.columns import is_metadata
-from silverlane.functions.rules import Rule, predicate
+from silverlane.functions.rules import ERRORS, Rule, errors, predicate
 from silverlane.functions.text import value_kind
 
 FIELD_KEYS = ["schema_name", "snapshot"]
@@ -90,14 +90,8 @@ def present_fields(profile: DataFrame) -> DataFrame:
     return profile.filter(F.col("non_null") > 0)
 
 
-def store_schemas(fields: DataFrame, path: str) -> None:
-    """Append snapshots to the schema table."""
-    fields.write.mode("append").parquet(path)
-
-
-def latest_schemas(spark: SparkSession, path: str) -> DataFrame:
+def latest_schemas(stored: DataFrame) -> DataFrame:
     """Field rows of the newest snapshot of every schema."""
-    stored = spark.read.parquet(path)
     newest = stored.groupBy("schema_name").agg(F.max("snapshot").alias("snapshot"))
     return stored.join(newest, FIELD_KEYS, "left_semi")
 
@@ -198,6 +192,18 @@ def dtype_matches(expected: str, dtype: T.DataType) -> bool:
     return dtype_name(dtype) == "object"
 
 
+def structural_failures(df: DataFrame, fields: list[Any]) -> dict[str, str]:
+    """Fields whose column is missing or of another type, with the failing check."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    found = {}
+    for f in fields:
+        if f["field"] not in types:
+            found[f["field"]] = "missing_column"
+        elif not dtype_matches(f["dtype"], types[f["field"]]):
+            found[f["field"]] = "dtype"
+    return found
+
+
 def validate_schema(df: DataFrame, fields: list[Any] | None) -> DataFrame:
     """Failures per field and check; a missing schema fails as ``schema:missing``.
 
@@ -207,24 +213,32 @@ def validate_schema(df: DataFrame, fields: list[Any] | None) -> DataFrame:
     if not fields:
         row = df.agg(total.alias("failures"))
         return row.select(F.lit("schema").alias("field"), F.lit("missing").alias("check"), "failures")
-    measures, structs = [], []
+    structural = structural_failures(df, fields)
+    found = [(field, check, total) for field, check in structural.items()]
+    for rule in schema_compile([f for f in fields if f["field"] not in structural]):
+        found.append((rule.column, rule.name.split(":")[1], F.count_if(~predicate(rule, df.schema))))
+    if not found:
+        return df.agg(total.alias("failures")).select(
+            F.lit("schema").alias("field"), F.lit("none").alias("check"), "failures").filter("false")
+    wide = df.agg(*[failures.alias(f"m{i}") for i, (_, _, failures) in enumerate(found)])
+    structs = [
+        F.struct(F.lit(field).alias("field"), F.lit(check).alias("check"), F.col(f"m{i}").alias("failures"))
+        for i, (field, check, _) in enumerate(found)
+    ]
+    return wide.select(F.inline(F.array(*structs))).filter(F.col("failures") > 0)
+
+
+def failed_rows(df: DataFrame, fields: list[Any] | None) -> Column:
+    """Aggregate counting rows that do not meet a schema; all of them without one."""
+    total = F.count(F.lit(1))
+    if not fields or structural_failures(df, fields):
+        return total
+    return F.count_if(F.size(errors(df.schema, schema_compile(fields))) > 0)
 
-    def add(field: str, check: str, failures: Column) -> None:
-        name = f"m{len(measures)}"
-        measures.append(failures.alias(name))
-        structs.append(F.struct(F.lit(field).alias("field"), F.lit(check).alias("check"), F.col(name).alias("failures")))
 
-    types = {f.name: f.dataType for f in df.schema.fields}
-    usable = []
-    for f in fields:
-        if f["field"] not in types:
-            add(f["field"], "missing_column", total)
-        elif not dtype_matches(f["dtype"], types[f["field"]]):
-            add(f["field"], "dtype", total)
-        else:
-            usable.append(f)
-    for rule in schema_compile(usable):
-        add(rule.column, rule.name.split(":")[1], F.count_if(~predicate(rule, df.schema)))
-    if not measures:
-        add("schema", "none", F.lit(0).cast("bigint"))
-    return df.agg(*measures).select(F.inline(F.array(*structs))).filter(F.col("failures") > 0)
+def schema_errors(df: DataFrame, fields: list[Any]) -> DataFrame:
+    """Rows with ``_errors``; a missing column or wrong type is an error of every row."""
+    structural = structural_failures(df, fields)
+    codes = F.array(*[F.lit(f"{field}:{check}") for field, check in structural.items()]).cast("array<string>")
+    rules = schema_compile([f for f in fields if f["field"] not in structural])
+    return df.withColumn(ERRORS, F.concat(codes, errors(df.schema, rules)))

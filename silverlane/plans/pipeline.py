@@ -4,23 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlane.functions.rules import ERRORS, Rule, with_errors
+from silverlane.functions.rules import Rule, with_errors
 from silverlane.operators.aggregates import gold_tables
-from silverlane.operators.audit import append_rows, audit_events
+from silverlane.operators.audit import audit_events
 from silverlane.operators.cleaning import clean, cleaning_measures
 from silverlane.operators.enrichment import enrich
 from silverlane.operators.metrics import metric_severity, risk_alerts, stage_totals
 from silverlane.operators.quality import THRESHOLD, quarantine_rows, scorecard
+from silverlane.operators.schema import latest_schemas, schema_errors
 from silverlane.operators.suspicious import suspicious_flags, suspicious_summary
 from silverlane.operators.validation import transaction_rules, validity_counts
 from silverlane.session import work_path
 from silverlane.sources.ingest import Source, ingest_sources
 from silverlane.sources.readers import scan_layer
-from silverlane.sources.writers import write_gold, write_layer, write_quarantine
+from silverlane.sources.writers import write_gold, write_layer, write_log, write_quarantine
 
 STORED_ONLY = ("_run_id", "year", "month")
 TRANSFORM_SCHEMA = (
@@ -60,13 +62,25 @@ class Layout:
     def audit(self) -> str:
         return f"{self.base}/logs/audit_events"
 
+    @property
+    def schemas(self) -> str:
+        return f"{self.base}/logs/schema_versions"
+
+    @property
+    def metadata(self) -> str:
+        return f"{self.base}/logs/run_metadata"
+
 
 @dataclass(frozen=True)
 class QualityPlan:
-    """What a source must meet; without schema rules its schema check scores 0."""
+    """What a source must meet.
+
+    ``fields`` describes the cleaned rows, one field row per column; without it
+    their schema check scores 0. Raw rows are held against the stored snapshot.
+    """
 
     rules: list[Rule] = field(default_factory=list)
-    schema_rules: list[Rule] | None = None
+    fields: list[Any] | None = None
     threshold: float = THRESHOLD
     fail_on_error: bool = False
 
@@ -95,13 +109,13 @@ def transform_source(
     # Quantiles, ranks and checks each scan the cleaned rows, so they are stored once.
     cleaned = materialize(clean(read_bronze(spark, layout, name, run_id), at, overrides), f"cleaned-{name}")
     counts = cleaned.agg(*cleaning_measures()).first()
-    card = scorecard(cleaned.drop("_copies"), plan.rules, plan.schema_rules, at, plan.threshold)
+    card = scorecard(cleaned.drop("_copies"), plan.rules, plan.fields, at, plan.threshold)
     passed = card.filter(F.col("check") == "overall").first()["passed"]
     if plan.fail_on_error and not passed:
         raise ValueError(f"Data quality validation failed: {name}")
     quarantined = 0
-    if not passed and plan.schema_rules is not None:
-        checked = with_errors(cleaned, plan.schema_rules, at)
+    if not passed and plan.fields:
+        checked = schema_errors(cleaned, plan.fields)
         quarantined = write_quarantine(quarantine_rows(checked), layout.quarantine, name, at, run_id)["rows"]
     silver_path, _ = write_layer(enrich(cleaned.drop("_copies"), name, at), layout.silver, name, at, run_id)
     tables = gold_tables(scan_layer(spark, silver_path, run_id), at)
@@ -125,6 +139,11 @@ def run_transformation(
     return spark.createDataFrame(results, TRANSFORM_SCHEMA)
 
 
+def stored_fields(spark: SparkSession, layout: Layout, name: str) -> list[Any]:
+    """Newest stored schema of a source: one row per column."""
+    return latest_schemas(spark.read.parquet(f"{layout.schemas}/{name}")).collect()
+
+
 def bronze_quality(
     spark: SparkSession, layout: Layout, names: list[str], run_id: str, at: datetime, plans: dict[str, QualityPlan]
 ) -> DataFrame:
@@ -133,7 +152,8 @@ def bronze_quality(
     for name in names:
         plan = plans.get(name, QualityPlan())
         raw = read_bronze(spark, layout, name, run_id)
-        card = scorecard(raw, plan.rules, plan.schema_rules, at, plan.threshold, fingerprint="_record_hash")
+        fields = stored_fields(spark, layout, name)
+        card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
         card = card.select(F.lit(name).alias("source_name"), *card.columns)
         cards = card if cards is None else cards.unionByName(card)
     return cards
@@ -143,13 +163,13 @@ def run_full_pipeline(
     spark: SparkSession, layout: Layout, sources: list[Source], run_id: str, at: datetime,
     plans: dict[str, QualityPlan] | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest, transform and assess; the run is appended to the run log.
+    """Ingest, transform and assess; the run and its stages go to the logs.
 
     Returns the ingest and transform results, the scorecards and the run record.
     The per-source results are small: one row per configured source.
     """
     plans = plans or {}
-    ingested = ingest_sources(spark, sources, layout.bronze, at, run_id)
+    ingested = ingest_sources(spark, sources, layout.bronze, at, run_id, layout.schemas)
     landed = [row["source_name"] for row in ingested.filter(F.col("status") == "success").collect()]
     stages = ingested.select(
         F.lit(run_id).alias("run_id"), F.lit("ingestion").alias("stage"), "source_name",
@@ -172,12 +192,15 @@ def run_full_pipeline(
     record = stage_totals(stages).withColumns({
         "pipeline_name": F.lit("full-pipeline"), "timestamp": F.lit(at).cast("timestamp_ntz"),
     })
-    append_rows(record, layout.runs)
-    out["run"] = spark.read.parquet(layout.runs).filter(F.col("run_id") == run_id)
+    write_log(record, layout.runs, run_id)
+    write_log(stages.withColumn("written_at", F.lit(at).cast("timestamp_ntz")), layout.metadata, run_id)
+    out["run"] = spark.read.parquet(layout.runs).filter(F.col("_run_id") == run_id).drop("_run_id")
     return out
 
 
-def financial_validation(transactions: DataFrame, at: datetime, audit_path: str | None = None) -> dict[str, DataFrame]:
+def financial_validation(
+    transactions: DataFrame, at: datetime, audit_path: str | None = None, run_id: str = "validation"
+) -> dict[str, DataFrame]:
     """Validate and flag transactions; derive quality, risk and audit rows.
 
     One projection adds errors and flags; every measure reads that frame.
@@ -217,7 +240,7 @@ def financial_validation(transactions: DataFrame, at: datetime, audit_path: str
         )
     )
     if audit_path:
-        append_rows(events, audit_path)
+        write_log(events, audit_path, run_id)
     return {
         "transactions": checked, "quality": quality, "suspicious": summary, "metrics": metrics,
         "alerts": risk_alerts(risks), "audit": events,

@@ -13,6 +13,7 @@ from silverlane.plans.registry import query
 from silverlane.plans.views import EVENTS_AS_OF, ORDERS_AS_OF, view, with_views
 from silverlane.session import work_path
 from silverlane.sources.readers import list_files
+from silverlane.sources.writers import write_log
 
 PERIOD = datetime(2024, 1, 5), datetime(2024, 1, 20)
 HEALTH_AT = datetime(2024, 1, 30, 18, 0, 0)
@@ -28,7 +29,7 @@ _CONTENT = f"concat_ws(':', resource, action, CAST(record_count AS VARCHAR), {_M
     FROM audit_log"""))
 def audit_append(spark, sf_dir):
     path = f"{work_path(spark, 'audit')}/audit_events"
-    audit.append_rows(audit.audit_events(view(spark, sf_dir, "audit_log")), path)
+    write_log(audit.audit_events(view(spark, sf_dir, "audit_log")), path, "run-1")
     return spark.read.parquet(path).select(
         "event_id", "user_id", "action", "resource", "record_count", "data_hash", "success", "error_message")
 
@@ -47,7 +48,7 @@ def _lineage(spark, sf_dir):
         CAST(2 AS INTEGER) AS transformation_count FROM lineage_steps"""))
 def lineage_append(spark, sf_dir):
     path = f"{work_path(spark, 'lineage')}/lineage"
-    audit.append_rows(_lineage(spark, sf_dir), path)
+    write_log(_lineage(spark, sf_dir), path, "run-1")
     return spark.read.parquet(path).select(
         "source_file", "source_hash", "destination_table", "processing_time", "retention_date", "data_quality_score",
         F.size("transformations").alias("transformation_count"))

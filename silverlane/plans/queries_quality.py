@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.rules import ERRORS, Rule, with_errors
 from silverlane.operators import quality
-from silverlane.operators.schema import schema_compile
 from silverlane.operators.validation import transaction_rules
 from silverlane.plans.queries_rows import TRANSACTION_ERRORS_SQL
 from silverlane.plans.registry import query
@@ -66,7 +65,7 @@ def _landed(spark, sf_dir):
     FROM (SELECT account_id IS NULL OR coalesce(length(account_id) > 13, false)
         OR coalesce(amount < 1000 OR amount > 500000, false) AS bad FROM txn_gaps)"""))
 def dq_schema_check(spark, sf_dir):
-    return quality.schema_check(view(spark, sf_dir, "txn_gaps"), schema_compile(SNAPSHOT))
+    return quality.schema_check(view(spark, sf_dir, "txn_gaps"), SNAPSHOT)
 
 
 @query("dq_business_rules", with_views(
@@ -188,7 +187,7 @@ _CARD_SQL = {
 
 
 def _card(spark, sf_dir):
-    return quality.scorecard(_landed(spark, sf_dir), CONFIG_RULES, schema_compile(SNAPSHOT), ORDERS_AS_OF)
+    return quality.scorecard(_landed(spark, sf_dir), CONFIG_RULES, SNAPSHOT, ORDERS_AS_OF)
 
 
 @query("dq_scorecard", with_views(

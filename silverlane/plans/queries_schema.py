@@ -9,6 +9,7 @@ from silverlane.operators import schema
 from silverlane.plans.registry import query
 from silverlane.plans.views import view, with_views
 from silverlane.session import work_path
+from silverlane.sources.writers import write_log
 
 _NUMBER, _TEXT, _TIME = "number", "text", "time"
 _GAP_FIELDS = (
@@ -83,10 +84,10 @@ def schema_profile_by_source(spark, sf_dir):
     ["txn_yearly"], f"SELECT {_FIELD_COLUMNS} FROM fields WHERE snapshot = "
     "(SELECT max(f.snapshot) FROM fields f WHERE f.schema_name = fields.schema_name)", fields=_yearly_sql()))
 def schema_store(spark, sf_dir):
-    """Every snapshot is appended to the schema table; the newest of each schema is read back."""
+    """Every snapshot goes to the schema table; the newest of each schema is read back."""
     path = f"{work_path(spark, 'schemas')}/schema_versions"
-    schema.store_schemas(_yearly_fields(spark, sf_dir), path)
-    return schema.latest_schemas(spark, path)
+    write_log(_yearly_fields(spark, sf_dir), path, "run-1")
+    return schema.latest_schemas(spark.read.parquet(path)).drop("_run_id")
 
 
 _STEPS_SQL = """SELECT schema_name, snapshot, lag(snapshot) OVER (PARTITION BY schema_name ORDER BY snapshot) AS previous

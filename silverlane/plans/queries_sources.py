@@ -202,8 +202,12 @@ _DIRTY_SCHEMA = (
 PLAN = pipeline.QualityPlan(
     rules=[Rule("transaction_amount_positive", "amount", "greater_than", {"value": 0}),
            Rule("account_id_not_null", "account_id", "not_null")],
-    schema_rules=[Rule("amount:not_null", "amount", "not_null"),
-                  Rule("transaction_date:not_null", "transaction_date", "not_null")],
+    fields=[
+        {"field": "amount", "dtype": "float64", "nullable": False, "min_value": None, "max_value": None,
+         "max_length": None},
+        {"field": "transaction_date", "dtype": "datetime64[ns]", "nullable": False, "min_value": None,
+         "max_value": None, "max_length": None},
+    ],
 )
 
 
@@ -227,7 +231,7 @@ def transform_pipeline(spark, sf_dir):
     layout = pipeline.Layout(work_path(spark, "pipeline"))
     _landed_dirty(spark, sf_dir, layout)
     pipeline.run_transformation(spark, layout, ["transactions"], RUN, INGESTED_AT, {"transactions": PLAN})
-    return readers.scan_layer(spark, f"{layout.gold}/by_category", RUN).select(
+    return readers.scan_layer(spark, f"{layout.gold}/by_category/transactions", RUN).select(
         "transaction_category", "amount_sum", "amount_mean", "amount_count", "amount_min", "amount_max",
         "account_count")
 

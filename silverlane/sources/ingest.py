@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlane.columns import ROW_SEQ, business_columns
-from silverlane.sources.readers import scan_csv, scan_json, scan_object_store
-from silverlane.sources.writers import write_layer
+from silverlane.operators.schema import schema_profile
+from silverlane.sources.readers import scan_csv, scan_json, scan_layer, scan_object_store
+from silverlane.sources.writers import write_layer, write_log
 
 RESULT_SCHEMA = (
     "source_name string, source_type string, rows_ingested bigint, output_path string, status string, error string"
@@ -65,14 +66,25 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def ingest_sources(
-    spark: SparkSession, sources: list[Source], bronze: str, ingested_at: datetime, run_id: str
+    spark: SparkSession, sources: list[Source], bronze: str, ingested_at: datetime, run_id: str,
+    schemas: str | None = None,
 ) -> DataFrame:
-    """Land every source; a failing one is recorded and the others go on."""
+    """Land every source; a failing one is recorded and the others go on.
+
+    With ``schemas`` the schema found in each source is added to that table, one
+    snapshot per ingest time.
+    """
     results = []
     for source in sources:
         try:
             landed = add_ingest_metadata(read_source(spark, source), ingested_at)
             path, seen = write_layer(landed, bronze, source.name, ingested_at, run_id)
+            if schemas:
+                stored = scan_layer(spark, path, run_id).drop("year", "month")
+                snapshot = schema_profile(stored).select(
+                    F.lit(source.name).alias("schema_name"), F.lit(int(ingested_at.timestamp())).alias("snapshot"), "*"
+                )
+                write_log(snapshot, f"{schemas}/{source.name}", run_id)
             results.append((source.name, source.type, seen["rows"], path, "success", None))
         except Exception as problem:  # noqa: BLE001 - any failure of one source must not stop the rest
             message = str(problem).split("\n")[0]

@@ -45,9 +45,14 @@ def scan_object_store(
 
 
 def scan_layer(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """A stored layer (or one parquet file), optionally of one run."""
-    df = spark.read.parquet(path)
-    return df.filter(F.col("_run_id") == run_id) if run_id else df
+    """A stored layer (or one parquet file), optionally of one run.
+
+    Files of one run share their columns, so only that run's folders are listed
+    and read. Across runs columns may differ and are merged.
+    """
+    if run_id:
+        return spark.read.option("basePath", path).parquet(f"{path}/year=*/month=*/_run_id={run_id}")
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
