@@ -205,11 +205,9 @@ def scorecard(
     ``fields`` are the field rows of the schema to meet, None for no schema.
 
     Everything but the duplicate count is one aggregation without a shuffle of
-    rows. The two results have one row per group and are joined on it.
+    rows. The two results have one row per group and are put together by it.
     """
     by = by or []
-    group = by or ["_scope"]
-    scoped = df if by else df.withColumn("_scope", F.lit("all"))
     names = [name for name in business_columns(df) if name not in by]
     text, dates = _text_columns(df, by), _date_names(df, by)
     measures = [
@@ -223,9 +221,9 @@ def scorecard(
     has_ingest = INGEST_TIME in df.columns
     if has_ingest:
         measures.append(F.max(INGEST_TIME).alias("_latest_ingest"))
-    wide = scoped.groupBy(*group).agg(*measures)
-    copies = duplicates(scoped, group, fingerprint).select(*group, F.col("passed").alias("_few_copies"))
-    joined = wide.join(copies, group)
+    wide = df.groupBy(*by).agg(*measures)
+    copies = duplicates(df, by, fingerprint).select(*by, F.col("passed").alias("_few_copies"))
+    joined = wide.join(copies, by) if by else wide.withColumn("_few_copies", copies.scalar())
 
     total = F.col("_rows_total")
     schema_score = F.when(F.col("_schema_failed") == 0, 1.0).otherwise(0.0) if fields else F.lit(0.0)

@@ -10,9 +10,14 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def local_session(
+    app: str, cores: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
     """Session for tests and local benchmarks; a cluster job brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -21,8 +26,10 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config(CHECKPOINT_KEY, checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def work_root(spark: SparkSession) -> str:
@@ -31,14 +38,15 @@ def work_root(spark: SparkSession) -> str:
     Unset is only accepted in local mode, where a temporary folder takes its
     place: on a cluster a machine-local folder would vanish with its machine.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="silverlane-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="silverlane-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
