@@ -107,13 +107,16 @@ def errors(schema: T.StructType, rules: list[Rule], as_of: date | datetime | Non
 
     A rule that cannot be checked counts as broken.
     """
+    if len({rule.name for rule in rules}) < len(rules):
+        raise ValueError("rule names must differ")
     codes = []
     for rule in rules:
         holds = predicate(rule, schema, as_of)
         codes.append(F.lit(rule.name) if holds is None else F.when(~holds, F.lit(rule.name)))
     if not codes:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*codes))
+    # Unlike array_compact this stays in generated code; codes are distinct anyway.
+    return F.array_except(F.array(*codes), F.array(F.lit(None).cast("string")))
 
 
 def with_errors(df: DataFrame, rules: list[Rule], as_of: date | datetime | None = None) -> DataFrame:

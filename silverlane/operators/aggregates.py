@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.columns import money_mean, money_sum, ratio
-from silverlane.functions.text import CATEGORY_PATTERNS
+from silverlane.functions.text import CATEGORY_WORDS
 
 LARGE_TOTAL = 10_000
-CATEGORIES = tuple(name for name, _ in CATEGORY_PATTERNS) + ("Other", "Unknown")
+CATEGORIES = tuple(name for name, _ in CATEGORY_WORDS) + ("Other", "Unknown")
 
 
 def _amount_totals() -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from silverlane.columns import business_columns, ratio
 from silverlane.functions.rules import ERRORS, Rule, errors, predicate
-from silverlane.functions.text import to_datetime, value_kind
+from silverlane.functions.text import kinds_found, to_datetime
 from silverlane.operators.schema import failed_rows
 
 # Pass marks of the checks and advice for failed ones.
@@ -118,8 +118,7 @@ def _text_columns(df: DataFrame, by: list[str]) -> list[str]:
 
 
 def _kinds(name: str) -> Column:
-    # at most five distinct kinds exist
-    return F.size(F.collect_set(value_kind(F.col(name))))
+    return F.bit_count(kinds_found(F.col(name)))
 
 
 def type_consistency(df: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from silverlane.columns import is_metadata
 from silverlane.functions.rules import ERRORS, Rule, errors, predicate
-from silverlane.functions.text import value_kind
+from silverlane.functions.text import KIND_BITS, kinds_found
 
 FIELD_KEYS = ["schema_name", "snapshot"]
 
@@ -34,14 +34,12 @@ def dtype_name(dtype: T.DataType) -> str:
 
 def _inferred_dtype(kinds: Column, nulls: Column) -> Column:
     """Type a text column would load as, from the kinds of its values."""
-    whole = F.array_except(kinds, F.array(F.lit("integer")))
-    number = F.array_except(kinds, F.array(F.lit("integer"), F.lit("decimal")))
-    truth = F.array_except(kinds, F.array(F.lit("boolean")))
+    integer, decimal, boolean = KIND_BITS["integer"], KIND_BITS["decimal"], KIND_BITS["boolean"]
+    numbers = kinds.bitwiseOR(F.lit(integer | decimal)) == integer | decimal
     return (
-        F.when(F.size(kinds) == 0, F.lit("float64"))
-        .when((F.size(whole) == 0) & (nulls == 0), F.lit("int64"))
-        .when(F.size(number) == 0, F.lit("float64"))
-        .when((F.size(truth) == 0) & (nulls == 0), F.lit("bool"))
+        F.when((kinds == integer) & (nulls == 0), F.lit("int64"))
+        .when(numbers, F.lit("float64"))
+        .when((kinds == boolean) & (nulls == 0), F.lit("bool"))
         .otherwise(F.lit("object"))
     )
 
@@ -67,7 +65,7 @@ def schema_profile(df: DataFrame, by: list[str] | None = None, infer_text: bool
         if text:
             measures.append(F.max(F.length(column)).alias(f"len{i}"))
         if text and infer_text:
-            measures.append(F.collect_set(value_kind(column)).alias(f"kinds{i}"))
+            measures.append(kinds_found(column).alias(f"kinds{i}"))
         nulls = F.col("_rows_total") - F.col(f"n{i}")
         dtype: Column = F.lit(dtype_name(f.dataType))
         low = F.col(f"low{i}") if number is not None else nothing

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date, datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.columns import ratio
-from silverlane.functions.rules import ERRORS, Rule
+from silverlane.functions.rules import ERRORS, Rule, predicate
 from silverlane.functions.skew import attach_by_key
 
 # Field rules of the three schemas.
@@ -113,13 +115,17 @@ def flag_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return marked.withColumn("is_duplicate_key", F.coalesce("_repeated", F.lit(False))).drop("_repeated")
 
 
-def validation_errors_summary(validated: DataFrame) -> DataFrame:
-    """Rows per broken rule."""
-    return (
-        validated.select(F.explode(ERRORS).alias("error"))
-        .groupBy("error")
-        .agg(F.count(F.lit(1)).alias("failures"))
-    )
+def validation_errors_summary(df: DataFrame, rules: list[Rule], as_of: date | datetime | None = None) -> DataFrame:
+    """Rows per broken rule: one counter per rule in one aggregation."""
+    def broken(rule: Rule) -> Column:
+        holds = predicate(rule, df.schema, as_of)
+        return F.count(F.lit(1)) if holds is None else F.count_if(~holds)
+
+    wide = df.agg(*[broken(rule).alias(f"r{i}") for i, rule in enumerate(rules)])
+    structs = [
+        F.struct(F.lit(rule.name).alias("error"), F.col(f"r{i}").alias("failures")) for i, rule in enumerate(rules)
+    ]
+    return wide.select(F.inline(F.array(*structs))).filter(F.col("failures") > 0)
 
 
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

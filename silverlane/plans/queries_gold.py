@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from silverlane.functions.rules import with_errors
-from silverlane.functions.text import CATEGORY_PATTERNS
+from silverlane.functions.text import CATEGORY_WORDS
 from silverlane.operators import aggregates, enrichment
 from silverlane.operators.suspicious import suspicious_flags
 from silverlane.operators.validation import transaction_rules
@@ -13,7 +13,7 @@ from silverlane.plans.queries_rows import SUSPICIOUS_SQL, TRANSACTION_ERRORS_SQL
 from silverlane.plans.registry import query
 from silverlane.plans.views import ORDERS_AS_OF, view, with_views
 
-_CASES = " ".join(f"WHEN regexp_matches(lower(description), '{p}') THEN '{c}'" for c, p in CATEGORY_PATTERNS)
+_CASES = " ".join(f"WHEN regexp_matches(lower(description), '{'|'.join(words)}') THEN '{c}'" for c, words in CATEGORY_WORDS)
 CATEGORY_SQL = f"CASE WHEN description IS NULL THEN 'Unknown' {_CASES} ELSE 'Other' END"
 
 # Rows as the trusted layer would hold them: category and large flag added.

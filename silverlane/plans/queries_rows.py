@@ -175,7 +175,8 @@ def unique_key_rows(spark, sf_dir):
     SELECT error, count(*) AS failures FROM (SELECT unnest(string_split(errors, '|')) AS error FROM checked
     WHERE errors <> '') GROUP BY 1""", checked=TRANSACTION_ERRORS_SQL))
 def validation_errors_summary(spark, sf_dir):
-    return validation.validation_errors_summary(_checked(spark, sf_dir, "fin_txn", validation.transaction_rules()))
+    return validation.validation_errors_summary(
+        view(spark, sf_dir, "fin_txn"), validation.transaction_rules(), ORDERS_AS_OF)
 
 
 @query("split_valid_invalid", with_views(["fin_txn"], """

@@ -43,6 +43,13 @@ def _yearly_fields(spark, sf_dir):
         schema.schema_profile(view(spark, sf_dir, "txn_yearly"), by=_KEYS, infer_text=True))
 
 
+def _schema_table(spark, sf_dir):
+    """The schema table those field rows are stored in: comparing snapshots never scans data again."""
+    path = f"{work_path(spark, 'schemas')}/schema_versions"
+    write_log(_yearly_fields(spark, sf_dir), path, "run-1")
+    return spark.read.parquet(path).drop("_run_id")
+
+
 def _yearly_sql() -> str:
     """Field facts per source and year, type names included, in plain SQL."""
     def field(name: str, dtype: str, low: str, high: str, length: str, where: str = "") -> str:
@@ -85,9 +92,7 @@ def schema_profile_by_source(spark, sf_dir):
     "(SELECT max(f.snapshot) FROM fields f WHERE f.schema_name = fields.schema_name)", fields=_yearly_sql()))
 def schema_store(spark, sf_dir):
     """Every snapshot goes to the schema table; the newest of each schema is read back."""
-    path = f"{work_path(spark, 'schemas')}/schema_versions"
-    write_log(_yearly_fields(spark, sf_dir), path, "run-1")
-    return schema.latest_schemas(spark.read.parquet(path)).drop("_run_id")
+    return schema.latest_schemas(_schema_table(spark, sf_dir))
 
 
 _STEPS_SQL = """SELECT schema_name, snapshot, lag(snapshot) OVER (PARTITION BY schema_name ORDER BY snapshot) AS previous
@@ -114,7 +119,7 @@ _DIFF_PARTS = {"fields": _yearly_sql(), "steps": _STEPS_SQL, "pairs": _PAIRS_SQL
 
 @query("schema_diff", with_views(["txn_yearly"], "SELECT * FROM diff", **_DIFF_PARTS))
 def schema_diff(spark, sf_dir):
-    return schema.schema_diff(_yearly_fields(spark, sf_dir))
+    return schema.schema_diff(_schema_table(spark, sf_dir))
 
 
 _KINDS = ("added", "removed", "type_changed", "nullable_changed", "constraint_changed")
@@ -138,7 +143,7 @@ _VERSION_SQL = f"""SELECT schema_name, snapshot, field_count, {', '.join(_KINDS)
     ["txn_yearly"], _VERSION_SQL, **_DIFF_PARTS, report=_REPORT_SQL, leveled=_LEVEL_SQL, majors=_MAJOR_SQL,
     minors=_MINOR_SQL))
 def schema_evolution_report(spark, sf_dir):
-    return schema.schema_evolution_report(_yearly_fields(spark, sf_dir))
+    return schema.schema_evolution_report(_schema_table(spark, sf_dir))
 
 
 # A snapshot as an earlier load would have stored it, for rows that drifted since.

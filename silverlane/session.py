@@ -26,6 +26,8 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Larger methods are never compiled to machine code; such stages do better operator by operator.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if checkpoint_dir:
         builder = builder.config(CHECKPOINT_KEY, checkpoint_dir)

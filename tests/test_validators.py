@@ -44,7 +44,7 @@ TABLES = {
     "money": (money_from_text, {
         "£1,234.50": 1234.5, "€ 7": 7.0, "-3": -3.0, "1e3": 1000.0, "12d": None, "bad": None, "": None, None: None}),
     "kind": (value_kind, {
-        "12": "integer", "-1.5": "decimal", "2024-01-31": "datetime", "TRUE": "boolean", "x": "text", None: None}),
+        "12": 1, "-1.5": 2, "2024-01-31": 4, "TRUE": 8, "x": 16, "-": 16, "": 16, None: None}),
 }
 
 
