@@ -136,7 +136,7 @@ def retention_expired(lineage: DataFrame, as_of: datetime) -> DataFrame:
     """Lineage past its retention date with whole days overdue."""
     now = _at(as_of)
     return lineage.filter(now > F.col("retention_date")).select(
-        "lineage_id", "destination_table", "retention_date",
+        "lineage_id", "source_file", "destination_table", "retention_date",
         whole_days(now, F.col("retention_date")).alias("days_overdue"),
     )
 

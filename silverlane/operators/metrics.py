@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.columns import ratio
 from silverlane.functions.severity import CRITICAL, HIGH, MEDIUM, severity_high_is_bad, severity_low_is_bad
+from silverlane.functions.skew import attach_by_key
 
 # Thresholds and history lengths.
 MAX_DURATIONS = {"ingestion": 300.0, "transformation": 600.0, "validation": 180.0}
@@ -74,14 +75,17 @@ def runs_by_pipeline(runs: DataFrame) -> DataFrame:
     """Totals, last success and failures since then, per pipeline.
 
     Failures are counted after the last success in (time, run_id) order. The
-    last successes are one row per pipeline; adaptive execution broadcasts them
-    when that is small and splits a skewed pipeline when it is not.
+    last success goes back to the runs of its pipeline without gathering a busy
+    pipeline in one task.
     """
     position = F.struct("timestamp", "run_id")
     good = F.col("status") == "completed"
-    last = runs.filter(good).groupBy("pipeline_name").agg(F.max(position).alias("_last"))
+    facts = runs.groupBy("pipeline_name").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(good, position)).alias("_last")
+    )
+    total = runs.agg(F.count(F.lit(1))).first()[0]
     return (
-        runs.join(last, "pipeline_name", "left")
+        attach_by_key(runs, facts, "pipeline_name", total, ["_last"])
         .groupBy("pipeline_name")
         .agg(
             F.count(F.lit(1)).alias("total_runs"),

@@ -166,11 +166,12 @@ def run_full_pipeline(
     """Ingest, transform and assess; the run and its stages go to the logs.
 
     Returns the ingest and transform results, the scorecards and the run record.
-    The per-source results are small: one row per configured source.
+    The per-source results are small: one row per configured source. A source
+    without rows has nothing to transform.
     """
     plans = plans or {}
     ingested = ingest_sources(spark, sources, layout.bronze, at, run_id, layout.schemas)
-    landed = [row["source_name"] for row in ingested.filter(F.col("status") == "success").collect()]
+    landed = [row["source_name"] for row in ingested.filter("status = 'success' AND rows_ingested > 0").collect()]
     stages = ingested.select(
         F.lit(run_id).alias("run_id"), F.lit("ingestion").alias("stage"), "source_name",
         F.lit("completed" if landed else "failed").alias("status"), F.col("rows_ingested").alias("rows"),

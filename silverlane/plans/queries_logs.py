@@ -101,10 +101,7 @@ _audit_by("audit_by_classification", "data_classification")
     FROM (SELECT *, processing_time + to_days(CAST(retention_days AS INTEGER)) AS retention_date FROM lineage_steps)
     WHERE retention_date < TIMESTAMP '2024-02-01'"""))
 def retention_expired(spark, sf_dir):
-    lineage = _lineage(spark, sf_dir)
-    expired = audit.retention_expired(lineage, EVENTS_AS_OF)
-    return expired.join(lineage.select("lineage_id", "source_file"), "lineage_id").select(
-        "source_file", "destination_table", "retention_date", "days_overdue")
+    return audit.retention_expired(_lineage(spark, sf_dir), EVENTS_AS_OF).drop("lineage_id")
 
 
 RETENTION_AT = datetime(2024, 4, 20)

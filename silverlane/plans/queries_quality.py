@@ -60,7 +60,7 @@ def _landed(spark, sf_dir):
 
 
 @query("dq_schema_check", with_views(["txn_gaps"], """
-    SELECT count(*) FILTER (WHERE bad) AS failed_rows, CASE WHEN bool_or(bad) THEN 0.0 ELSE 1.0 END AS score,
+    SELECT count(*) FILTER (WHERE bad) AS failed_rows, CAST(CASE WHEN bool_or(bad) THEN 0 ELSE 1 END AS DOUBLE) AS score,
         NOT bool_or(bad) AS passed
     FROM (SELECT account_id IS NULL OR coalesce(length(account_id) > 13, false)
         OR coalesce(amount < 1000 OR amount > 500000, false) AS bad FROM txn_gaps)"""))

@@ -86,16 +86,18 @@ def multi_source_ingest(spark, sf_dir):
 
 
 @query("add_ingest_metadata", """
-    SELECT o_orderkey, o_totalprice, TIMESTAMP '2024-02-01 06:00:00' AS ingested_at, true AS has_file, 64 AS hash_length,
-        count(*) OVER (PARTITION BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
-        AS rows_with_hash FROM orders""")
+    SELECT TIMESTAMP '2024-02-01 06:00:00' AS ingested_at, count(*) AS rows_landed,
+        count(DISTINCT (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority))
+        AS distinct_hashes, count(*) AS hashed_rows, count(*) AS distinct_positions FROM orders""")
 def add_ingest_metadata_query(spark, sf_dir):
+    """Every row gets a hash of its business values, the same for equal rows, and its own position."""
     landed = add_ingest_metadata(table(spark, sf_dir, "orders"), INGESTED_AT)
-    sharing = landed.groupBy("_record_hash").agg(F.count(F.lit(1)).alias("rows_with_hash"))
-    return landed.join(sharing, "_record_hash").select(
-        "o_orderkey", "o_totalprice", F.col("_ingestion_timestamp").alias("ingested_at"),
-        F.col("_source_file").endswith("orders.parquet").alias("has_file"),
-        F.length("_record_hash").alias("hash_length"), "rows_with_hash")
+    return landed.filter(F.col("_source_file").contains("orders.parquet")).groupBy(
+        F.col("_ingestion_timestamp").alias("ingested_at")
+    ).agg(
+        F.count(F.lit(1)).alias("rows_landed"), F.count_distinct("_record_hash").alias("distinct_hashes"),
+        F.count_if(F.length("_record_hash") == 64).alias("hashed_rows"),
+        F.count_distinct("_row_seq").alias("distinct_positions"))
 
 
 @query("write_bronze", with_views(["txn"], """
