@@ -139,9 +139,10 @@ def run_transformation(
     return spark.createDataFrame(results, TRANSFORM_SCHEMA)
 
 
-def stored_fields(spark: SparkSession, layout: Layout, name: str) -> list[Any]:
-    """Newest stored schema of a source: one row per column."""
-    return latest_schemas(spark.read.parquet(f"{layout.schemas}/{name}")).collect()
+def stored_fields(spark: SparkSession, layout: Layout, name: str, run_id: str) -> list[Any]:
+    """Schema stored when a run landed a source: one row per column."""
+    stored = spark.read.parquet(f"{layout.schemas}/{name}")
+    return latest_schemas(stored.filter(F.col("_run_id") == run_id)).collect()
 
 
 def bronze_quality(
@@ -152,7 +153,7 @@ def bronze_quality(
     for name in names:
         plan = plans.get(name, QualityPlan())
         raw = read_bronze(spark, layout, name, run_id)
-        fields = stored_fields(spark, layout, name)
+        fields = stored_fields(spark, layout, name, run_id)
         card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
         card = card.select(F.lit(name).alias("source_name"), *card.columns)
         cards = card if cards is None else cards.unionByName(card)
