@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlane.llm import langid
 from silverlane.llm.common import read_table, word_count
+from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
 
@@ -67,6 +69,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_licenses")
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    base = F.filter("matches", lambda m: m["kind"] == "phrase")
+    starts = F.transform(base, lambda m: m["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels_of(F.col("matches"), "phrase").alias("base_labels"),
+        labels_of(F.col("matches"), "phrase", "template").alias("labels"),
+        F.coalesce(
+            F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)
+        ).alias("score"),
+    )
+
+
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -79,3 +97,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+def fold(key: str, parts: int):
+    """Number of the part a row is in, from the unsigned crc32 of its key as text."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs.filter(~held_out), "text", "lang", "doc_id")
+    return langid.predict(docs, model, "doc_id", "text", {"held_out": held_out})
