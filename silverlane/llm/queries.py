@@ -12,6 +12,7 @@ from silverlane.llm.common import read_table, word_count
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
+from silverlane.llm.toxicity import score_toxicity
 
 SHARDS = 40
 MIX_SHARE, MIX_EPOCHS, MIX_CYCLE = 1.5, 2.0, (3.0, 1.0, 2.0)
@@ -110,3 +111,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     model = langid.train(docs.filter(~held_out), "text", "lang", "doc_id")
     return langid.predict(docs, model, "doc_id", "text", {"held_out": held_out})
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    scored = score_toxicity(
+        docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", ~held_out, {"held_out": held_out}
+    )
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
