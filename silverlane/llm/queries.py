@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.llm import langid
 from silverlane.llm.common import read_table, word_count
+from silverlane.llm.decontamination import contaminated
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
@@ -121,3 +122,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", ~held_out, {"held_out": held_out}
     )
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and test item of which the document covers half or more."""
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    found = contaminated(docs, items, "doc_id", "text", "item_id", "text")
+    return found.select("doc_id", "item_id", "n_item_words", "n_covered", "coverage", "n_tiles", "first_word")
