@@ -13,9 +13,12 @@ from silverlane.llm.decontamination import contaminated
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
+from silverlane.llm.tokenfiles import read_token_files, write_token_files
 from silverlane.llm.toxicity import score_toxicity
 
 SHARDS = 40
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 0
 MIX_SHARE, MIX_EPOCHS, MIX_CYCLE = 1.5, 2.0, (3.0, 1.0, 2.0)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +133,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     found = contaminated(docs, items, "doc_id", "text", "item_id", "text")
     return found.select("doc_id", "item_id", "n_item_words", "n_covered", "coverage", "n_tiles", "first_word")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op10_tokens")
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return read_token_files(write_token_files(docs, "doc_id", "text", tokenizer_path(), END_ID), "doc_id")

@@ -111,13 +111,19 @@ def split(texts: Texts, is_word: np.ndarray, fold: np.ndarray | None = None) ->
     here, before = inside[1:], inside[:-1]
     starts = np.flatnonzero(here & (~before | edge))
     ends = np.flatnonzero(before & (~here | edge))
-    folded = data if fold is None else fold[data]
+    hashes = span_hashes(data if fold is None else fold[data], starts, ends)
+    return Words(starts, ends, hashes, np.searchsorted(starts, begins))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span, wherever in the data it stands."""
+    n = len(data)
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_byte_values()[folded] * up[:n], out=sums[1:])
+    np.cumsum(_byte_values()[data] * up[:n], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     hashes += (ends - starts).astype(np.uint64) * _ODD
-    return Words(starts, ends, mix(hashes), np.searchsorted(starts, begins))
+    return mix(hashes)
 
 
 def hash_word(word: bytes) -> int:
