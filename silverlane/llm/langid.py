@@ -28,6 +28,7 @@ WIDTH = 16
 EPOCHS = 4
 RATE = 0.8
 WANTED_ACCURACY = 0.99
+BROADCAST_LANGUAGES = 1000
 UNDETERMINED = "und"
 
 _BLANK = np.uint8(0x20)
@@ -77,6 +78,8 @@ def _sample(labelled: DataFrame, text: str, lang: str, key: str, seed: int) -> l
     languages = counts.count()
     each = max(20, SAMPLE_ROWS // max(1, languages))
     sizes = counts.select(F.col(lang).alias("_lang"), "_n")
+    if languages <= BROADCAST_LANGUAGES:  # otherwise Spark chooses the join
+        sizes = F.broadcast(sizes)
     order = seeded_order(seed, key)
     share = F.lit(4.0 * each) / F.col("_n") * F.lit(float(1 << 60))
     thin = labelled.withColumn("_order", order).join(sizes, F.col(lang) == F.col("_lang")).filter(F.col("_order") <= share)
