@@ -13,6 +13,7 @@ from silverlane.llm.decontamination import contaminated
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
+from silverlane.llm.substrings import remove_repeats
 from silverlane.llm.tokenfiles import read_token_files, write_token_files
 from silverlane.llm.toxicity import score_toxicity
 
@@ -145,3 +146,9 @@ def tokenizer_path() -> str:
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return read_token_files(write_token_files(docs, "doc_id", "text", tokenizer_path(), END_ID), "doc_id")
+
+
+@query("op3_substrings")
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
