@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from silverlane.llm import langid
 from silverlane.llm.common import read_table, word_count
 from silverlane.llm.decontamination import contaminated
+from silverlane.llm.embeddings import near_vectors
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
 from silverlane.llm.sharding import interleave
@@ -152,3 +153,8 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op7_embeddings")
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.98)
