@@ -5,37 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000
-SPREAD = 64
+KEYS_PER_PARTITION = 4
+
+
+def hot_limit(df: DataFrame, total_rows: int) -> int:
+    """Rows from which a key is hot: a quarter of an even share of a shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, total_rows // (KEYS_PER_PARTITION * max(1, partitions)))
 
 
 def attach_by_key(df: DataFrame, facts: DataFrame, key: str, total_rows: int, payload: list[str]) -> DataFrame:
     """Left-join ``facts`` (one row per ``key``, row count in ``n``) to ``df``.
 
-    A key with more than 1/HOT_SHARE of all rows is hot. There are fewer than
-    HOT_SHARE such keys whatever the data, so their facts are broadcast. Their
-    rows then get a spread join key that matches nothing, which keeps them from
-    piling up in one task of the shuffle join that serves all other keys.
+    Keys above ``hot_limit`` are hot. There are fewer than KEYS_PER_PARTITION of them per shuffle partition whatever
+    the data, so their facts are broadcast and their rows, like rows without a key, are not shuffled at all. The other
+    rows meet their facts in a shuffle join in which no key fills a task.
     """
-    hot_limit = max(1, total_rows // HOT_SHARE)
-    hot = facts.filter(F.col("n") > hot_limit).select(
-        F.col(key).alias("_hot_key"), *[F.col(name).alias(f"_hot_{name}") for name in payload]
-    )
-    cold = facts.filter(F.col("n") <= hot_limit).select(
-        F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"),
-        *[F.col(name).alias(f"_cold_{name}") for name in payload],
-    )
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int") + 1
-    matched = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    joined = (
-        df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_join_key", F.when(~matched, F.col(key)))
-        .withColumn("_join_salt", F.when(matched, spread).otherwise(F.lit(0)))
+    limit = hot_limit(df, total_rows)
+    hot = facts.filter(F.col("n") > limit).select(
+        F.col(key).alias("_hot_key"), *[F.col(name).alias(f"_fact_{name}") for name in payload]
     )
-    # A null key alone would hash all hot rows to one task, hence the salt next to it.
-    joined = joined.join(
-        cold, (F.col("_join_key") == F.col("_cold_key")) & (F.col("_join_salt") == F.col("_cold_salt")), "left"
+    cold = facts.filter(F.col("n") <= limit).select(
+        F.col(key).alias("_cold_key"), *[F.col(name).alias(f"_fact_{name}") for name in payload]
     )
-    return joined.select(
-        *df.columns, *[F.coalesce(F.col(f"_hot_{name}"), F.col(f"_cold_{name}")).alias(name) for name in payload]
+    marked = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    chosen = [*df.columns, *[F.col(f"_fact_{name}").alias(name) for name in payload]]
+    settled = marked.filter(F.col("_hot_key").isNotNull() | F.col(key).isNull()).select(*chosen)
+    keyed = df.filter(F.col(key).isNotNull()).join(
+        F.broadcast(hot.select("_hot_key")), F.col(key) == F.col("_hot_key"), "left_anti"
     )
+    return settled.unionByName(keyed.join(cold, F.col(key) == F.col("_cold_key"), "left").select(*chosen))
