@@ -13,6 +13,7 @@ from silverlane.llm.decontamination import contaminated
 from silverlane.llm.embeddings import near_vectors
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
+from silverlane.llm.setjoin import jaccard_groups
 from silverlane.llm.sharding import interleave
 from silverlane.llm.substrings import remove_repeats
 from silverlane.llm.tokenfiles import read_token_files, write_token_files
@@ -158,3 +159,8 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_embeddings")
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.98)
+
+
+@query("op1_jaccard")
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(read_table(spark, sf_dir, "documents"), "doc_id", "text", 3, 90, 100)
