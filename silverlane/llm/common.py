@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from silverlane.session import work_path
 
-# White space of the word rule: everything but space, tab, line feed, vertical tab, form feed, carriage return.
+BROADCAST_KEYS = 1_000_000
+# Words: everything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -32,3 +33,18 @@ def seeded_order(seed: int, *keys) -> F.Column:
     """A seeded position in [0, 2**60) that any engine with md5 can compute."""
     parts = [F.lit(str(seed))] + [F.coalesce(F.col(key).cast("string"), F.lit("~")) for key in keys]
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def others(df: DataFrame, names: tuple[str, ...]) -> list[F.Column]:
+    """The columns of ``df`` but those of some names, whatever their case."""
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose key is not in ``keys``; rows without a key stay.
+
+    Up to BROADCAST_KEYS keys are broadcast, so that whole texts are not shuffled; more are joined by a shuffle.
+    """
+    gone = stored(keys.select(F.col(key).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
+    return docs.join(side, F.col(key) == F.col("_gone"), "left_anti")

@@ -171,9 +171,3 @@ def _finder(shared, min_run: int, coverage: float, key: str, item_key: str):
                 ], names=[key, item_key, "n_item_words", "n_covered", "coverage", "n_tiles", "first_word", "tiles"])
 
     return run
-
-
-def without_contamination(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose key is not in ``found``; rows without a key stay."""
-    flagged = found.select(F.col(key).alias("_flagged")).distinct()
-    return docs.join(flagged, F.col(key) == F.col("_flagged"), "left_anti")

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlane.llm.common import seeded_order, stored
+from silverlane.llm.common import WORD_PATTERN, others, seeded_order, stored
 
 ORDER_BITS = 12
+ADDED = ("size", "source_size", "target", "taken")
 _HASH_BITS = 60
 
 
@@ -58,7 +59,8 @@ def mix_sources(
 
     ``weights`` (source, weight) sets weights by source, 0 for a source it does not name; without it they cycle over
     the sources. A null source is a source of its own; a row of size 0 takes nothing. Rows with equal ``key`` are
-    ordered by size. An empty table gives an empty result. Columns of ``df`` must not start with ``_mix_``.
+    ordered by size. An empty table gives an empty result. Columns of ``df`` of the added names are replaced; none may
+    start with ``_mix_``.
     """
     sized = df.withColumns({"_mix_size": size, "_mix_source": _name(source), "_mix_hash": seeded_order(seed, key)})
     sized = sized.withColumn("_mix_bucket", F.shiftright("_mix_hash", _HASH_BITS - ORDER_BITS).cast("int"))
@@ -83,10 +85,11 @@ def mix_sources(
         words.select(F.col("_mix_source").alias("_mix_s"), F.col("_mix_bucket").alias("_mix_b"), "words")
         .join(targets.select("_mix_source", "source_size", "target"), F.col("_mix_s") == F.col("_mix_source"))
         .select(
-            "_mix_s", "_mix_b", "source_size", "target", epochs.cast("long").alias("_mix_epochs"),
+            "_mix_s", "_mix_b", F.col("source_size").alias("_mix_total"), F.col("target").alias("_mix_target"),
+            epochs.cast("long").alias("_mix_epochs"),
             F.coalesce(F.sum("words").over(before), F.lit(0)).alias("_mix_before"),
         )
-        .withColumn("_mix_extra", F.floor(F.col("target") - F.col("_mix_epochs") * F.col("source_size")))
+        .withColumn("_mix_extra", F.floor(F.col("_mix_target") - F.col("_mix_epochs") * F.col("_mix_total")))
     )
     inside = (
         Window.partitionBy("_mix_source", "_mix_bucket").orderBy("_mix_hash", key, "_mix_size")
@@ -97,20 +100,25 @@ def mix_sources(
         plan, (F.col("_mix_source") == F.col("_mix_s")) & (F.col("_mix_bucket") == F.col("_mix_b"))
     ).withColumn("_mix_left", F.col("_mix_extra") - (reached - F.col("_mix_size")))
     part = F.greatest(F.lit(0), F.least(F.col("_mix_left"), F.col("_mix_size")))
-    return joined.select(
-        *df.columns, F.col("_mix_size").alias("size"), "source_size", "target",
-        (F.col("_mix_epochs") * F.col("_mix_size") + part).cast("long").alias("taken"),
-    )
+    return joined.select(*others(df, ADDED), *[value.alias(name) for name, value in zip(ADDED, (
+        F.col("_mix_size"), F.col("_mix_total"), F.col("_mix_target"),
+        (F.col("_mix_epochs") * F.col("_mix_size") + part).cast("long"),
+    ))])
 
 
-def repeated(mixed: DataFrame, text: str, columns: list[str]) -> DataFrame:
+def repeated(mixed: DataFrame, text: str, columns: list[str], n_chars: str | None = None) -> DataFrame:
     """The rows a mix takes: each whole repetition as a row, a last part cut after its words.
 
-    A row of which nothing is taken goes. Rows without words have no size to repeat and stay as they are.
+    A row of which nothing is taken goes. Rows without words have no size to repeat and stay as they are. ``n_chars``
+    names a column that holds the length of the text and follows a cut.
     """
-    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.ceil(F.col("taken") / F.col("size")))
-    numbered = mixed.withColumn("_mix_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.ceil(F.col("taken") / F.greatest("size", F.lit(1))))
+    numbered = mixed.filter(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     rest = F.col("taken") - (F.col("_mix_copy") - 1) * F.col("size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit("(" + "[^\\x20\\x09-\\x0D]+" + ")"), 1), 1, rest.cast("int")), " ")
+    words = F.regexp_extract_all(F.col(text), F.lit(f"({WORD_PATTERN})"), 1)
     whole = (F.col("size") == 0) | (rest >= F.col("size"))
-    return numbered.select(*[F.when(whole, F.col(c)).otherwise(cut).alias(c) if c == text else F.col(c) for c in columns])
+    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(rest, F.lit(0)).cast("int")), " ")
+    changed = {text: cut} | ({n_chars: F.length(cut)} if n_chars else {})
+    return numbered.select(*[
+        F.when(whole, F.col(c)).otherwise(changed[c]).alias(c) if c in changed else F.col(c) for c in columns
+    ])

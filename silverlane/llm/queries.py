@@ -22,6 +22,7 @@ from silverlane.llm.toxicity import score_toxicity
 SHARDS = 40
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
+TOXIC = 0.5
 MIX_SHARE, MIX_EPOCHS, MIX_CYCLE = 1.5, 2.0, (3.0, 1.0, 2.0)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,7 +128,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(
         docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", ~held_out, {"held_out": held_out}
     )
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
 @query("op4_decontamination")

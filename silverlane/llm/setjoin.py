@@ -27,13 +27,12 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.skew import attach_by_key
 from silverlane.llm import words as W
-from silverlane.llm.common import stored
+from silverlane.llm.common import BROADCAST_KEYS, stored, without_keys
 from silverlane.llm.components import components
 
 RARITY_BITS = 20
 CHUNK_BITS = 14
 PARITY_LONGS = 8
-BROADCAST_KEYS = 1_000_000
 MEMBERS_PER_TASK = 4096
 
 _PARITY = [f"p{i}" for i in range(PARITY_LONGS)]
@@ -284,5 +283,4 @@ def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num
 
 def first_of_groups(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; rows without a key stay."""
-    later = groups.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_later")).distinct()
-    return docs.join(later, F.col(key) == F.col("_later"), "left_anti")
+    return without_keys(docs, groups.filter(F.col(key) != F.col("component_id")), key)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlane.llm.common import seeded_order, stored
+from silverlane.llm.common import others, seeded_order, stored
 
 SOURCE_BITS = 12
 PLACE_BUCKETS = 8192
@@ -25,7 +25,7 @@ def interleave(df: DataFrame, shards: int, source: str, key: str, seed: int = 0,
 
     A null source is a source of its own. Rows with equal ``key`` are ordered by the ``tie`` columns; rows that are
     equal in those too are interchangeable. With fewer rows than shards some shards are empty; an empty table gives
-    an empty result. Columns of ``df`` whose names start with ``_il_`` are not allowed.
+    an empty result. Columns of ``df`` named shard or slot are replaced; none may start with ``_il_``.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
@@ -48,7 +48,7 @@ def interleave(df: DataFrame, shards: int, source: str, key: str, seed: int = 0,
     shard = _divide(F.col("_il_place") * shards, F.col("_il_all"))
     first = _divide(shard * F.col("_il_all") + (shards - 1), F.lit(shards))
     return placed.select(
-        *df.columns, shard.cast("int").alias("shard"), (F.col("_il_place") - first).cast("long").alias("slot")
+        *others(df, ("shard", "slot")), shard.cast("int").alias("shard"), (F.col("_il_place") - first).cast("long").alias("slot")
     )
 
 
