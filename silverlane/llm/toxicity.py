@@ -4,8 +4,9 @@ Voters look at a text and vote toxic, clean or nothing: word lists mined from la
 patterns. A generative label model estimates from all voted rows how often each voter is right and which voters say the
 same thing twice, and gives every row a posterior label. A linear classifier trained on posterior labels gives the score.
 
-The text is read twice: labelled rows for the word lists, all rows for the counts that votes and features come from.
-What reaches the driver is bounded: the mined words, one row per vote pattern, and a sample for the classifier.
+The text is read twice: about MINE_ROWS labelled rows for the word lists (their keys are few enough to broadcast, so no
+text is shuffled for its label), all rows for the counts that votes and features come from. What reaches the driver is
+bounded: the mined words, one row per vote pattern, and a sample for the classifier.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ MIN_SHARE = 0.02
 MIN_PRECISION = 0.9
 MIN_SHARE_HERE = 0.7
 MIN_CORRELATION = 0.2
+MINE_ROWS = 20000
 SAMPLE_ROWS = 20000
 ROUNDS = 60
 SHOUT, BANGS = 0.6, 0.02
@@ -202,7 +204,10 @@ def score_toxicity(
     """
     carry = carry or {}
     truth = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    known = docs.filter(learn).join(truth, F.col(key) == F.col("_key")).select(F.col(text), F.col("_label"))
+    labelled = truth.filter(F.col("_label").isNotNull())
+    drawn = min(1.0, MINE_ROWS / max(1, labelled.count()))
+    chosen = labelled.filter(seeded_order(seed, "_key") <= F.lit(drawn * (1 << 60)))
+    known = docs.filter(learn).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(F.col(text), F.col("_label"))
     mined = mine_words(known, text, "_label")
     known_words = {w for w, _ in mined}
     words = [(w, i % LISTS) for i, (w, _) in enumerate(mined)]
