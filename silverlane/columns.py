@@ -12,6 +12,7 @@ COPIES = "_copies"
 # Name fragments that decide how a column is filled and parsed.
 ZERO_FILL_NAMES = ("amount", "balance")
 CARRY_FILL_NAMES = ("date",)
+MONEY_TYPE = "decimal(28,6)"
 MONEY_NAMES = ("amount", "balance", "fee", "charge")
 TIME_NAMES = ("date", "time", "timestamp")
 ID_NAMES = ("id",)
@@ -72,8 +73,27 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def money_sum(column: Column) -> Column:
-    """Exact, order-independent sum of a money column; 0 for no values."""
-    return F.coalesce(F.sum(column.cast("decimal(18,2)")), F.lit(0).cast("decimal(28,2)"))
+    """Sum of a money column, not yet rounded; 0 for no values.
+
+    Values are added as decimals of six places, so the sum does not depend on the order of tasks. What is no number or
+    beyond 10**22 is left out; ``money_misfits`` counts it.
+    """
+    return F.coalesce(F.sum(column.try_cast(MONEY_TYPE)), F.lit(0).cast("decimal(38,6)"))
+
+
+def money_count(column: Column) -> Column:
+    """Number of values in a money sum."""
+    return F.count(column.try_cast(MONEY_TYPE))
+
+
+def to_pence(total: Column) -> Column:
+    """A money sum as it is shown."""
+    return F.round(total, 2).cast("double")
+
+
+def money_misfits(column: Column) -> Column:
+    """Number of values a money sum leaves out: NaN, infinite or too large."""
+    return F.count_if(column.isNotNull() & column.try_cast(MONEY_TYPE).isNull())
 
 
 def money_mean(total: Column, count: Column) -> Column:

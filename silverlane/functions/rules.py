@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlane.functions import validators as v
-from silverlane.functions.text import to_datetime
+from silverlane.functions.text import to_datetime, to_money
 
 ERRORS = "_errors"
 DATE_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
@@ -45,6 +45,11 @@ class _Target:
     def is_text(self) -> bool:
         return isinstance(self.dtype, T.StringType)
 
+    @property
+    def number(self) -> Column:
+        """The value to compare with numbers: text is read as money, unreadable text is no number."""
+        return to_money(self.column, self.dtype) if self.is_text else self.column
+
     @property
     def day(self) -> date:
         if self.as_of is None:
@@ -66,11 +71,11 @@ def _date_span(t: _Target, years: int) -> Column:
 
 CHECKS: dict[str, Callable[..., Column]] = {
     "not_null": lambda t: t.column.isNotNull(),
-    "greater_than": lambda t, value: t.column > F.lit(value),
-    "at_least": lambda t, value: t.column >= F.lit(value),
-    "at_most": lambda t, value: t.column <= F.lit(value),
-    "between": lambda t, min_value, max_value: t.column.between(F.lit(min_value), F.lit(max_value)),
-    "abs_less_than": lambda t, value: F.abs(t.column) < F.lit(value),
+    "greater_than": lambda t, value: t.number > F.lit(value),
+    "at_least": lambda t, value: t.number >= F.lit(value),
+    "at_most": lambda t, value: t.number <= F.lit(value),
+    "between": lambda t, min_value, max_value: t.number.between(F.lit(min_value), F.lit(max_value)),
+    "abs_less_than": lambda t, value: F.abs(t.number) < F.lit(value),
     "in_set": lambda t, values: t.column.isin(*values),
     "regex": lambda t, pattern: t.column.rlike(pattern),
     "length_between": lambda t, min_value, max_value: F.length(t.column).between(min_value, max_value),

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlane.columns import money_mean, money_sum, ratio
+from silverlane.columns import money_count, money_mean, money_sum, ratio, to_pence
 from silverlane.functions.text import CATEGORY_WORDS
 
 LARGE_TOTAL = 10_000
@@ -15,13 +15,14 @@ CATEGORIES = tuple(name for name, _ in CATEGORY_WORDS) + ("Other", "Unknown")
 
 
 def _amount_totals() -> list[Column]:
-    return [money_sum(F.col("amount")).alias("_total"), F.count("amount").alias("amount_count")]
+    amount = F.col("amount")
+    return [money_sum(amount).alias("_total"), money_count(amount).alias("_added"), F.count(amount).alias("amount_count")]
 
 
 def _amount_columns() -> list[Column]:
     return [
-        F.col("_total").cast("double").alias("amount_sum"),
-        money_mean(F.col("_total"), F.col("amount_count")).alias("amount_mean"),
+        to_pence(F.col("_total")).alias("amount_sum"),
+        money_mean(F.col("_total"), F.col("_added")).alias("amount_mean"),
         F.col("amount_count"),
     ]
 
@@ -100,7 +101,7 @@ def by_account(df: DataFrame) -> DataFrame:
         .groupBy("account_id")
         .agg(*_amount_totals(), F.min("amount").alias("_min"), F.max("amount").alias("_max"))
         .select(
-            "account_id", F.col("_total").cast("double").alias("amount_sum"), "amount_count",
+            "account_id", to_pence(F.col("_total")).alias("amount_sum"), "amount_count",
             F.round("_min", 2).alias("amount_min"), F.round("_max", 2).alias("amount_max"),
         )
     )
@@ -115,7 +116,7 @@ def transaction_totals(flagged: DataFrame) -> DataFrame:
         F.count_if(F.col("amount") > LARGE_TOTAL).alias("large_transactions"),
     )
     return totals.select(
-        "total_transactions", F.col("_total").cast("double").alias("total_amount"),
+        "total_transactions", to_pence(F.col("_total")).alias("total_amount"),
         F.coalesce(money_mean(F.col("_total"), F.col("total_transactions")), F.lit(0.0)).alias("average_amount"),
         "suspicious_transactions", "large_transactions",
     )

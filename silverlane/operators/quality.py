@@ -197,10 +197,12 @@ def _mean(parts: list[Column], empty: float) -> Column:
 
 def scorecard(
     df: DataFrame, rules: list[Rule], fields: list[Any] | None, as_of: datetime,
-    threshold: float = THRESHOLD, by: list[str] | None = None, fingerprint: str | None = None,
+    threshold: float = THRESHOLD, by: list[str] | None = None, fingerprint: str | None = None, distinct: bool = False,
 ) -> DataFrame:
     """Score and verdict of the five checks and overall, per group of ``by``.
 
+    ``distinct`` says that copies are gone already, so none are counted.
+
     ``fields`` are the field rows of the schema to meet, None for no schema.
 
     Everything but the duplicate count is one aggregation without a shuffle of
@@ -221,8 +223,11 @@ def scorecard(
     if has_ingest:
         measures.append(F.max(INGEST_TIME).alias("_latest_ingest"))
     wide = df.groupBy(*by).agg(*measures)
-    copies = duplicates(df, by, fingerprint).select(*by, F.col("passed").alias("_few_copies"))
-    joined = wide.join(copies, by) if by else wide.withColumn("_few_copies", copies.scalar())
+    if distinct:
+        joined = wide.withColumn("_few_copies", F.lit(True))
+    else:
+        copies = duplicates(df, by, fingerprint).select(*by, F.col("passed").alias("_few_copies"))
+        joined = wide.join(copies, by) if by else wide.withColumn("_few_copies", copies.scalar())
 
     total = F.col("_rows_total")
     schema_score = F.when(F.col("_schema_failed") == 0, 1.0).otherwise(0.0) if fields else F.lit(0.0)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlane.columns import money_sum, ratio
+from silverlane.columns import MONEY_TYPE, money_sum, ratio, to_pence
 from silverlane.functions.validators import plain_date
 
 # Limits of the flags and of the sliding window alert.
@@ -45,7 +45,7 @@ def same_day_velocity(df: DataFrame, minimum: int = 2) -> DataFrame:
     return (
         df.filter(F.col("account_id").isNotNull() & F.col("transaction_date").isNotNull())
         .groupBy("account_id", F.to_date("transaction_date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("transactions"), money_sum(F.col("amount")).cast("double").alias("amount_sum"))
+        .agg(F.count(F.lit(1)).alias("transactions"), to_pence(money_sum(F.col("amount"))).alias("amount_sum"))
         .filter(F.col("transactions") >= minimum)
     )
 
@@ -56,7 +56,7 @@ def window_totals(df: DataFrame, timestamp: str, account: str, amount: str) -> D
         df.groupBy(F.window(timestamp, WINDOW_LENGTH, WINDOW_SLIDE), account)
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            F.sum(F.col(amount).cast("decimal(18,2)")).alias("total_amount"),
+            F.sum(F.col(amount).try_cast(MONEY_TYPE)).alias("total_amount"),
         )
     )
 
@@ -68,7 +68,7 @@ def over_limits(totals: DataFrame, max_count: int = WINDOW_MAX_COUNT, max_sum: f
 def alert_columns(account: str) -> list[Column]:
     return [
         F.col(account), F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        F.col("transaction_count"), F.col("total_amount").cast("double").alias("total_amount"),
+        F.col("transaction_count"), to_pence(F.col("total_amount")).alias("total_amount"),
     ]
 
 

@@ -29,6 +29,7 @@ TRANSFORM_SCHEMA = (
     "source_name string, original_rows bigint, final_rows bigint, quarantined_rows bigint, "
     "aggregations_created int, data_quality_passed boolean, status string, error string"
 )
+CARD_SCHEMA = "source_name string, total_rows bigint, check string, score double, passed boolean"
 STAGE_SCHEMA = "run_id string, stage string, source_name string, status string, rows bigint, passed boolean"
 
 
@@ -109,7 +110,7 @@ def transform_source(
     # Quantiles, ranks and checks each scan the cleaned rows, so they are stored once.
     cleaned = materialize(clean(read_bronze(spark, layout, name, run_id), at, overrides), f"cleaned-{name}")
     counts = cleaned.agg(*cleaning_measures()).first()
-    card = scorecard(cleaned.drop("_copies"), plan.rules, plan.fields, at, plan.threshold)
+    card = scorecard(cleaned.drop("_copies"), plan.rules, plan.fields, at, plan.threshold, distinct=True)
     passed = card.filter(F.col("check") == "overall").first()["passed"]
     if plan.fail_on_error and not passed:
         raise ValueError(f"Data quality validation failed: {name}")
@@ -140,24 +141,31 @@ def run_transformation(
 
 
 def stored_fields(spark: SparkSession, layout: Layout, name: str, run_id: str) -> list[Any]:
-    """Schema stored when a run landed a source: one row per column."""
+    """Schema stored by the latest run before this one, or by this one if it is the first: one row per column."""
     stored = spark.read.parquet(f"{layout.schemas}/{name}")
-    return latest_schemas(stored.filter(F.col("_run_id") == run_id)).collect()
+    earlier = latest_schemas(stored.filter(F.col("_run_id") != run_id)).collect()
+    return earlier or latest_schemas(stored.filter(F.col("_run_id") == run_id)).collect()
 
 
 def bronze_quality(
     spark: SparkSession, layout: Layout, names: list[str], run_id: str, at: datetime, plans: dict[str, QualityPlan]
 ) -> DataFrame:
-    """Scorecard of every landed source; stored row hashes stand for whole rows."""
-    cards = None
+    """Scorecard of every landed source; stored row hashes stand for whole rows.
+
+    Raw rows are held against the schema of the run before, or of this run when there is none. Cards are evaluated
+    once. A source whose check breaks off fails overall with score 0 and no row count.
+    """
+    cards = []
     for name in names:
         plan = plans.get(name, QualityPlan())
-        raw = read_bronze(spark, layout, name, run_id)
-        fields = stored_fields(spark, layout, name, run_id)
-        card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
-        card = card.select(F.lit(name).alias("source_name"), *card.columns)
-        cards = card if cards is None else cards.unionByName(card)
-    return cards
+        try:
+            raw = read_bronze(spark, layout, name, run_id)
+            fields = stored_fields(spark, layout, name, run_id)
+            card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
+            cards += [(name, *row) for row in card.select("total_rows", "check", "score", "passed").collect()]
+        except Exception:  # noqa: BLE001 - a broken check of one source must not stop the rest
+            cards.append((name, None, "overall", 0.0, False))
+    return spark.createDataFrame(cards, CARD_SCHEMA)
 
 
 def run_full_pipeline(

@@ -20,9 +20,9 @@ CATEGORY_SQL = f"CASE WHEN description IS NULL THEN 'Unknown' {_CASES} ELSE 'Oth
 SILVER_SQL = (
     f"SELECT *, {CATEGORY_SQL} AS transaction_category, "
     "coalesce(amount > (SELECT quantile_cont(amount, 0.95) FROM txn_gaps), false) AS large, "
-    "CAST(amount AS DECIMAL(18,2)) AS exact FROM txn_gaps"
+    "CAST(amount AS DECIMAL(28,6)) AS exact FROM txn_gaps"
 )
-SUM_SQL = "CAST(coalesce(sum(exact), 0) AS DOUBLE) AS amount_sum"
+SUM_SQL = "CAST(round(coalesce(sum(exact), 0), 2) AS DOUBLE) AS amount_sum"
 MEAN_SQL = "CAST(round(CAST(sum(exact) / count(exact) AS DECIMAL(38,6)), 2) AS DOUBLE) AS amount_mean"
 
 
@@ -148,8 +148,8 @@ def agg_by_account(spark, sf_dir):
 
 
 @query("transaction_totals", with_views(["fin_txn"], """
-    SELECT count(*) AS total_transactions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-        CAST(round(CAST(sum(CAST(amount AS DECIMAL(18,2))) / count(*) AS DECIMAL(38,6)), 2) AS DOUBLE) AS average_amount,
+    SELECT count(*) AS total_transactions, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_amount,
+        CAST(round(CAST(sum(CAST(amount AS DECIMAL(28,6))) / count(*) AS DECIMAL(38,6)), 2) AS DOUBLE) AS average_amount,
         count(suspicious_flags) AS suspicious_transactions,
         count(*) FILTER (WHERE amount > 10000) AS large_transactions FROM flagged""", flagged=SUSPICIOUS_SQL))
 def transaction_totals(spark, sf_dir):

@@ -54,13 +54,15 @@ def lineage_append(spark, sf_dir):
         F.size("transformations").alias("transformation_count"))
 
 
-_COMPLIANT = """CASE compliance_level
-    WHEN 'FCA_RULES' THEN data_classification IN ('PUBLIC', 'INTERNAL', 'CONFIDENTIAL', 'RESTRICTED')
-        AND action IN ('READ', 'write', 'validate', 'transform', 'audit')
-    WHEN 'GDPR' THEN data_classification IN ('PUBLIC', 'INTERNAL') AND action IN ('read', 'validate', 'anonymize')
-    WHEN 'SOX' THEN data_classification IN ('PUBLIC', 'INTERNAL', 'CONFIDENTIAL')
-        AND action IN ('read', 'validate', 'audit')
-    ELSE false END"""
+def _quoted(values: list[str]) -> str:
+    return ", ".join(repr(value) for value in values)
+
+
+_COMPLIANT = "CASE compliance_level " + " ".join(
+    f"WHEN '{level}' THEN data_classification IN ({_quoted(rule['allowed_classifications'])}) "
+    f"AND action IN ({_quoted(rule['allowed_actions'])})"
+    for level, rule in audit.COMPLIANCE_RULES.items()
+) + " ELSE false END"
 
 
 @query("compliance_check", with_views(["audit_log"], f"""

@@ -197,13 +197,8 @@ def dq_scorecard(spark, sf_dir):
 
 
 @query("quality_report", with_views(["txn_gaps"], """
-    SELECT total_rows, "check", round(score, 6) AS score, passed, CASE WHEN passed THEN NULL ELSE CASE "check"
-        WHEN 'schema_validation' THEN 'Review and update schema definitions to match incoming data structure'
-        WHEN 'completeness' THEN
-            'Investigate data sources for missing values and implement data collection improvements'
-        WHEN 'consistency' THEN 'Implement data standardization processes to ensure consistency'
-        WHEN 'freshness' THEN 'Review data ingestion schedules to ensure timely data delivery'
-        WHEN 'business_rules' THEN 'Review business rules and data validation logic' END END AS recommendation
+    SELECT total_rows, "check", round(score, 6) AS score, passed, CASE WHEN passed THEN NULL ELSE CASE "check" """ + " ".join(f"WHEN '{check}' THEN '{advice}'" for check, advice in quality.RECOMMENDATIONS.items()) + """
+        END END AS recommendation
     FROM card""", **_CARD_SQL))
 def quality_report(spark, sf_dir):
     return quality.quality_report(_card(spark, sf_dir)).withColumn("score", F.round("score", 6))
@@ -251,12 +246,13 @@ _SOURCE_CARD = {
     "copied": f"""SELECT source_name, sum(c - 1) / sum(c) AS rate FROM (
         SELECT source_name, count(*) AS c FROM named GROUP BY source_name, {_DIRTY_KEYS}) GROUP BY 1""",
     "counts": f"""SELECT source_name, count(*) AS n, count(account_id) / count(*) AS accounts,
+        count(*) FILTER (WHERE TRY_CAST(replace(amount, '£', '') AS DOUBLE) > 0) / count(*) AS positive,
         count(*) FILTER (WHERE CAST(try_strptime(transaction_date, '%Y-%m-%d') AS TIMESTAMP)
             BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2030-12-31') / count(*) AS dated,
         ({' + '.join(f'count({c}) / count(*)' for c in _DIRTY_COLUMNS)}) / 9 AS complete,
         count(*) FILTER (WHERE transaction_date = 'not a date') AS unparsed,
         max(try_strptime(transaction_date, '%Y-%m-%d')) AS latest FROM named GROUP BY 1""",
-    "parts": """SELECT source_name, n, 0.0 AS s1, (accounts + dated) / 2 AS s2, complete AS s3,
+    "parts": """SELECT source_name, n, 0.0 AS s1, (positive + accounts + dated) / 3 AS s2, complete AS s3,
         (CASE WHEN rate < 0.01 THEN 1 ELSE 0 END + CASE WHEN one_kind THEN 1 ELSE 0 END) / 2 AS s4,
         CASE WHEN unparsed > 0 THEN 1.0 WHEN TIMESTAMP '2001-08-03' - latest < INTERVAL 7 DAY THEN 1.0
             ELSE 0.0 END AS s5
@@ -277,5 +273,5 @@ _SOURCE_CARD = {
 def bronze_quality_assessment(spark, sf_dir):
     raw = view(spark, sf_dir, "txn_dirty").withColumn(
         "_source_name", F.concat(F.lit("source-"), (F.col("branch_id") % 4).cast("string")))
-    cards = quality.scorecard(raw, CONFIG_RULES[1:], None, ORDERS_AS_OF, by=["_source_name"])
+    cards = quality.scorecard(raw, CONFIG_RULES, None, ORDERS_AS_OF, by=["_source_name"])
     return cards.withColumnRenamed("_source_name", "source_name").withColumn("score", F.round("score", 6))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from silverlane.functions import validators
-from silverlane.functions.rules import ERRORS, Rule, with_errors
+from silverlane.functions.rules import DATE_TIME_PATTERN, ERRORS, Rule, with_errors
 from silverlane.operators import suspicious, validation
 from silverlane.operators.quality import business_rule_results
 from silverlane.plans.registry import query
@@ -22,7 +22,13 @@ def _date_sql(column: str) -> str:
 
 
 def _full(column: str, pattern: str) -> str:
-    return f"coalesce(regexp_full_match({column}, '{pattern}'), false)"
+    """Whether a whole value has a pattern of the library, whose anchors a full match does not need."""
+    body = pattern.removeprefix("^").removesuffix("\\z").replace("'", "''")
+    return f"coalesce(regexp_full_match({column}, '{body}'), false)"
+
+
+def _among(column: str, values: tuple[str, ...]) -> str:
+    return f"{column} IN ({', '.join(repr(value) for value in values)})"
 
 
 def _iban_sql(column: str) -> str:
@@ -33,16 +39,12 @@ def _iban_sql(column: str) -> str:
         "CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)"
     )
     fold = f"list_reduce({values}, lambda a, x: CASE WHEN x < 10 THEN (a * 10 + x) % 97 ELSE (a * 100 + x) % 97 END)"
-    shape = "[A-Z]{2}[0-9]{2}[A-Z0-9]{4}[0-9]{7}[A-Z0-9]{0,16}"
-    return f"CASE WHEN {_full(code, shape)} THEN {fold} = 1 ELSE false END"
+    return f"CASE WHEN {_full(code, validators.IBAN_PATTERN)} THEN {fold} = 1 ELSE false END"
 
 
-CURRENCY_SQL = (
-    "coalesce(upper({0}) IN ('AUD','CAD','CHF','CZK','DKK','EUR','GBP','HKD','HUF','JPY','NOK','NZD','PLN',"
-    "'SEK','SGD','USD'), false)"
-)
-SORT_CODE_SQL = _full("sort_code", "[0-9]{2}-[0-9]{2}-[0-9]{2}")
-ACCOUNT_SQL = _full("account_number", "[0-9]{8}")
+CURRENCY_SQL = f"coalesce({_among('upper({0})', validators.CURRENCIES)}, false)"
+SORT_CODE_SQL = _full("sort_code", validators.SORT_CODE_PATTERN)
+ACCOUNT_SQL = _full("account_number", validators.ACCOUNT_NUMBER_PATTERN)
 DATE_SQL = f"coalesce({_date_sql('transaction_date')} BETWEEN DATE '1991-01-01' AND {_TODAY}, false)"
 AGE_SQL = f"coalesce(date_sub('year', {_date_sql('date_of_birth')}, {_TODAY}) BETWEEN 18 AND 120, false)"
 
@@ -57,9 +59,9 @@ _field_query("valid_sort_code", "sort_code", validators.valid_sort_code, SORT_CO
 _field_query("valid_account_number", "account_number", validators.valid_account_number, ACCOUNT_SQL)
 _field_query("valid_iban", "iban", validators.valid_iban, _iban_sql("iban"))
 _field_query("valid_swift_bic", "bic", validators.valid_swift_bic,
-             _full("upper(bic)", "[A-Z]{6}[A-Z0-9]{2}([A-Z0-9]{3})?"))
+             _full("upper(bic)", validators.BIC_PATTERN))
 _field_query("valid_amount_range", "amount_text", validators.valid_amount_range,
-             "coalesce(TRY_CAST(amount_text AS DECIMAL(38,18)) BETWEEN 0.01 AND 1000000, false)")
+             "coalesce(TRY_CAST(amount_text AS DECIMAL(38,18)) BETWEEN {0} AND {1}, false)".format(validators.MIN_AMOUNT, validators.MAX_AMOUNT))
 _field_query("valid_currency", "currency", validators.valid_currency, CURRENCY_SQL.format("currency"))
 _field_query("valid_transaction_date", "transaction_date",
              lambda c: validators.valid_transaction_date(c, ORDERS_TODAY), DATE_SQL)
@@ -82,52 +84,50 @@ def _errors_sql(view_name: str, key: str, fields: list[tuple[str, str | None, li
 
 TRANSACTION_ERRORS_SQL = _errors_sql("fin_txn", "_row_seq AS row_seq", [
     ("transaction_id", True, [("length_between", "length(transaction_id) BETWEEN 1 AND 50"),
-                              ("regex", _full("transaction_id", "[A-Z0-9_-]+"))]),
+                              ("regex", _full("transaction_id", validation.TRANSACTION_ID_PATTERN))]),
     ("account_number", True, [("account_number", ACCOUNT_SQL)]),
     ("sort_code", True, [("sort_code", SORT_CODE_SQL)]),
-    ("amount", True, [("amount_range", "amount BETWEEN 0.01 AND 1000000")]),
+    ("amount", True, [("amount_range", f"amount BETWEEN {validators.MIN_AMOUNT} AND {validators.MAX_AMOUNT}")]),
     ("currency", True, [("currency", CURRENCY_SQL.format("currency"))]),
     ("transaction_date", True, [("transaction_date", DATE_SQL)]),
     ("transaction_type", True,
-     [("in_set", "transaction_type IN ('CREDIT','DEBIT','TRANSFER','PAYMENT','WITHDRAWAL','DEPOSIT')")]),
+     [("in_set", _among("transaction_type", validation.TRANSACTION_TYPES))]),
     ("description", False, [("max_length", "length(description) <= 255")]),
     ("counterparty_name", False, [("max_length", "length(counterparty_name) <= 100")]),
     ("counterparty_account", False,
-     [("account_or_iban", f"{_full('counterparty_account', '[0-9]{8}')} OR {_iban_sql('counterparty_account')}")]),
+     [("account_or_iban", 
+      f"{_full('counterparty_account', validators.ACCOUNT_NUMBER_PATTERN)} OR {_iban_sql('counterparty_account')}")]),
 ])
 
-_NAME_CHECKS = "length({0}) BETWEEN 1 AND 50", "[A-Za-z\\s''-]+"
-
-
 def _name_checks(column: str) -> list[tuple[str, str]]:
-    return [("length_between", _NAME_CHECKS[0].format(column)), ("regex", _full(column, _NAME_CHECKS[1]))]
+    return [("length_between", f"length({column}) BETWEEN 1 AND 50"),
+            ("regex", _full(column, validation.PERSON_NAME_PATTERN))]
 
 
 CUSTOMER_ERRORS_SQL = _errors_sql("cust", "customer_id, email", [
     ("customer_id", True, [("length_between", "length(customer_id) BETWEEN 1 AND 20"),
-                           ("regex", _full("customer_id", "[A-Z0-9]+"))]),
-    ("title", False, [("in_set", "title IN ('Mr','Mrs','Miss','Ms','Dr','Prof','Rev')")]),
+                           ("regex", _full("customer_id", validation.CUSTOMER_ID_PATTERN))]),
+    ("title", False, [("in_set", _among("title", validation.TITLES))]),
     ("first_name", True, _name_checks("first_name")),
     ("last_name", True, _name_checks("last_name")),
     ("date_of_birth", True, [("date_of_birth", AGE_SQL)]),
-    ("email", False, [("regex", _full("email", "[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+[.][a-zA-Z]{2,}"))]),
-    ("phone", False, [("regex", _full("phone", "([+]44|0)[1-9][0-9]{8,9}"))]),
-    ("postcode", False, [("regex", _full("postcode", "[A-Z]{1,2}[0-9][A-Z0-9]?\\s?[0-9][A-Z]{2}"))]),
-    ("risk_rating", True, [("in_set", "risk_rating IN ('LOW','MEDIUM','HIGH','VERY_HIGH')")]),
+    ("email", False, [("regex", _full("email", validation.EMAIL_PATTERN))]),
+    ("phone", False, [("regex", _full("phone", validation.PHONE_PATTERN))]),
+    ("postcode", False, [("regex", _full("postcode", validation.POSTCODE_PATTERN))]),
+    ("risk_rating", True, [("in_set", _among("risk_rating", validation.RISK_RATINGS))]),
 ])
 
-_STAMP = "[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})"
 ACCOUNT_ERRORS_SQL = _errors_sql("acct", "account_id", [
-    ("account_id", True, [("regex", _full("account_id", "ACC[0-9]{10}"))]),
+    ("account_id", True, [("regex", _full("account_id", validation.ACCOUNT_ID_PATTERN))]),
     ("account_number", True, [("account_number", ACCOUNT_SQL)]),
     ("sort_code", True, [("sort_code", SORT_CODE_SQL)]),
-    ("iban", False, [("regex", _full("iban", "GB[0-9]{2}[A-Z]{4}[0-9]{14}"))]),
-    ("account_type", True, [("in_set", "account_type IN ('CURRENT','SAVINGS','BUSINESS','ISA','MORTGAGE')")]),
-    ("balance", False, [("between", "balance BETWEEN -999999.99 AND 999999999.99")]),
-    ("currency", True, [("in_set", "currency IN ('GBP','EUR','USD')")]),
-    ("status", True, [("in_set", "status IN ('ACTIVE','INACTIVE','CLOSED','SUSPENDED')")]),
-    ("created_date", False, [("date_time", _full("created_date", _STAMP))]),
-    ("last_updated", False, [("date_time", _full("last_updated", _STAMP))]),
+    ("iban", False, [("regex", _full("iban", validation.ACCOUNT_IBAN_PATTERN))]),
+    ("account_type", True, [("in_set", _among("account_type", validation.ACCOUNT_TYPES))]),
+    ("balance", False, [("between", f"balance BETWEEN {validation.BALANCE_LOW} AND {validation.BALANCE_HIGH}")]),
+    ("currency", True, [("in_set", _among("currency", validation.ACCOUNT_CURRENCIES))]),
+    ("status", True, [("in_set", _among("status", validation.ACCOUNT_STATUSES))]),
+    ("created_date", False, [("date_time", _full("created_date", DATE_TIME_PATTERN))]),
+    ("last_updated", False, [("date_time", _full("last_updated", DATE_TIME_PATTERN))]),
 ])
 
 
@@ -200,11 +200,11 @@ def _expectation(name: str, rule: Rule, holds: str) -> None:
 
 
 _expectation("expect_regex", Rule("sort_code_matches", "sort_code", "regex",
-                                  {"pattern": r"^[0-9]{2}-[0-9]{2}-[0-9]{2}\z"}), SORT_CODE_SQL)
+                                  {"pattern": validators.SORT_CODE_PATTERN}), SORT_CODE_SQL)
 _expectation("expect_between", Rule("amount_between", "amount", "between", {"min_value": 0.01, "max_value": 1000000}),
              "amount BETWEEN 0.01 AND 1000000")
-_expectation("expect_in_set", Rule("currency_in_set", "currency", "in_set", {"values": ("GBP", "EUR", "USD")}),
-             "currency IN ('GBP', 'EUR', 'USD')")
+_expectation("expect_in_set", Rule("currency_in_set", "currency", "in_set", {"values": validation.ACCOUNT_CURRENCIES}),
+             _among("currency", validation.ACCOUNT_CURRENCIES))
 
 
 SUSPICIOUS_SQL = """
@@ -233,7 +233,7 @@ def suspicious_summary(spark, sf_dir):
 
 @query("same_day_velocity", with_views(["payments"], """
     SELECT account_id, CAST(timestamp AS DATE) AS day, count(*) AS transactions,
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount_sum
+        CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS amount_sum
     FROM payments GROUP BY 1, 2 HAVING count(*) >= 2"""))
 def same_day_velocity(spark, sf_dir):
     payments = view(spark, sf_dir, "payments").withColumnRenamed("timestamp", "transaction_date")
@@ -244,10 +244,10 @@ def same_day_velocity(spark, sf_dir):
 MAX_COUNT, MAX_SUM = 1, 300
 WINDOW_SQL = f"""
     SELECT account_id, start AS window_start, start + INTERVAL 5 MINUTE AS window_end, count(*) AS transaction_count,
-        CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+        CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_amount
     FROM (SELECT account_id, amount, date_trunc('minute', timestamp) - to_minutes(back) AS start
         FROM payments, unnest([0, 1, 2, 3, 4]) AS u(back))
-    GROUP BY 1, 2, 3 HAVING count(*) > {MAX_COUNT} OR sum(CAST(amount AS DECIMAL(18,2))) > {MAX_SUM}"""
+    GROUP BY 1, 2, 3 HAVING count(*) > {MAX_COUNT} OR sum(CAST(amount AS DECIMAL(28,6))) > {MAX_SUM}"""
 
 
 @query("window_fraud_alerts", with_views(["payments"], WINDOW_SQL))

@@ -227,7 +227,7 @@ def _landed_dirty(spark, sf_dir, layout):
         round(min(amount), 2) AS amount_min, round(max(amount), 2) AS amount_max,
         count(DISTINCT account_id) AS account_count FROM categorized GROUP BY 1""",
     filled=FILLED_SQL, typed=TYPED_SQL, cleaned=CLEAN_SQL,
-    categorized=f"SELECT *, {CATEGORY_SQL} AS transaction_category, CAST(amount AS DECIMAL(18,2)) AS exact FROM cleaned"))
+    categorized=f"SELECT *, {CATEGORY_SQL} AS transaction_category, CAST(amount AS DECIMAL(28,6)) AS exact FROM cleaned"))
 def transform_pipeline(spark, sf_dir):
     """Raw layer to trusted layer to roll-ups; shows the stored category roll-up."""
     layout = pipeline.Layout(work_path(spark, "pipeline"))
