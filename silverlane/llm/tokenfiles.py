@@ -25,6 +25,7 @@ from silverlane.llm.common import stored
 from silverlane.session import work_path
 
 SHARD_IDS = 1 << 22
+MAX_READERS = 10_000
 FILES = "part bigint, number bigint, path string, n_ids bigint, n_texts bigint"
 
 
@@ -111,7 +112,8 @@ def read_token_files(files: DataFrame, key: str) -> DataFrame:
                     pa.array(lengths), pa.array(crc, type=pa.int64()),
                 ], names=[key, "start", "n_tokens", "ids_crc32"])
 
-    return files.select("path", "start").repartition("path").mapInArrow(
+    dealt = files.select("path", "start").repartition(min(max(1, files.count()), MAX_READERS))
+    return dealt.mapInArrow(
         read, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
 

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from silverlane.llm import words as W
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1 << 21
 _JOIN_BYTES = 1 << 15
 
 # Bytes that may follow a blank at a cut: ASCII but white space and controls, and the first byte of Latin letters.
@@ -44,22 +44,48 @@ class Encoder:
             self.bytes_of[i] = len(token)
         self._clear()
 
-    def _clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.starts = np.zeros(CACHE_ENTRIES, dtype=np.int64)
-        self.lengths = np.zeros(CACHE_ENTRIES, dtype=np.int64)
-        self.pool, self.used = np.zeros(1 << 16, dtype=self.dtype), 0
+    def _clear(self, wanted: int = 0) -> None:
+        """An empty cache of CACHE_ENTRIES, or of more if one slice needs more."""
+        self.room = max(CACHE_ENTRIES, 1 << max(wanted - 1, 1).bit_length())
+        self.slots = np.zeros(2 * self.room, dtype=np.uint64)  # hashes, each at its place or the next free one
+        self.numbers = np.zeros(2 * self.room, dtype=np.int32)
+        self.starts = np.zeros(self.room, dtype=np.int64)
+        self.lengths = np.zeros(self.room, dtype=np.int64)
+        self.pool, self.entries, self.used = np.zeros(1 << 16, dtype=self.dtype), 0, 0
+
+    def _look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """Cache entry of each hash, -1 without one."""
+        mask = np.uint64(len(self.slots) - 1)
+        at = (hashes & mask).astype(np.int64)
+        seen = self.slots[at]
+        out = np.where(seen == hashes, self.numbers[at], -1)
+        rest = np.flatnonzero((seen != hashes) & (seen != 0))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & int(mask)
+            seen = self.slots[at[rest]]
+            hit = seen == hashes[rest]
+            out[rest[hit]] = self.numbers[at[rest[hit]]]
+            rest = rest[~hit & (seen != 0)]
+        return out
 
-    def _keep(self, key: int, ids: np.ndarray) -> int:
-        at, end = len(self.index), self.used + len(ids)
-        if at == len(self.starts):
-            self.starts, self.lengths = np.append(self.starts, 0 * self.starts), np.append(self.lengths, 0 * self.lengths)
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Add distinct hashes with their ids, one after the other in ``ids``."""
+        first, end = self.entries, self.used + len(ids)
         if end > len(self.pool):
             self.pool = np.append(self.pool, np.zeros(max(end, len(self.pool)), dtype=self.dtype))
-        self.starts[at], self.lengths[at] = self.used, len(ids)
         self.pool[self.used : end] = ids
-        self.index[key], self.used = at, end
-        return at
+        numbers = np.arange(first, first + len(hashes))
+        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[numbers] = lengths
+        self.entries, self.used = first + len(hashes), end
+        at, rest = (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64), np.arange(len(hashes))
+        while len(rest):
+            free = self.slots[at[rest]] == 0
+            self.slots[at[rest[free]]] = hashes[rest[free]]
+            placed = free & (self.slots[at[rest]] == hashes[rest])
+            self.numbers[at[rest[placed]]] = numbers[rest[placed]]
+            rest = rest[~placed]
+            at[rest] = (at[rest] + 1) & (len(self.slots) - 1)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,18 +100,18 @@ class Encoder:
             parts = [p for ids in each for p in (ids, *tail)]
             return np.concatenate(parts), np.array([len(ids) + len(tail) for ids in each])
         starts, ends, first = self._cut(texts)
-        hashes = W.span_hashes(texts.data, starts, ends)
-        unique, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(unique) > CACHE_ENTRIES:
-            self._clear()
-        known = [self.index.get(h, -1) for h in unique.tolist()]
-        new = [i for i, k in enumerate(known) if k < 0]
-        if new:
-            spans = where[new]
-            for i, ids in zip(new, self._encode_spans(data, starts[spans].tolist(), ends[spans].tolist())):
-                known[i] = self._keep(int(unique[i]), ids)
-        known = np.array(known, dtype=np.int64)
-        cut_starts, cut_lengths = self.starts[known][back], self.lengths[known][back]
+        hashes = np.maximum(W.span_hashes(texts.data, starts, ends), np.uint64(1))  # 0 stands for a free slot
+        known = self._look_up(hashes)
+        new, where = np.unique(hashes[known < 0], return_index=True)
+        if self.entries + len(new) > self.room:
+            self._clear(len(hashes))
+            new, where = np.unique(hashes, return_index=True)
+            known[:] = -1
+        if len(new):
+            spans = np.flatnonzero(known < 0)[where]
+            self._keep(new, *self._encode_spans(data, starts[spans].tolist(), ends[spans].tolist()))
+            known = self._look_up(hashes)
+        cut_starts, cut_lengths = self.starts[known], self.lengths[known]
         sums = np.concatenate([[0], np.cumsum(cut_lengths)])
         per_text = sums[first[1:]] - sums[first[:-1]]
         ids = self.pool[W.ragged(cut_starts, cut_lengths)]
@@ -112,11 +138,12 @@ class Encoder:
         return starts, ends, np.searchsorted(starts, begins)
 
     def _encode_spans(self, data: bytes, starts: list[int], ends: list[int]):
-        """Ids of each span. Spans that begin with a blank are encoded in long strings and told apart by length."""
-        out: list[np.ndarray | None] = [None] * len(starts)
+        """Ids of all spans in a row and how many each has. Spans that begin with a blank are encoded in long strings
+        and told apart by the bytes of their ids."""
+        lengths = np.zeros(len(starts), dtype=np.int64)
         groups, group, size, alone = [], [], 0, []
         for i, (a, b) in enumerate(zip(starts, ends)):
-            if data[a] != 0x20 or b - a < 2 or data[a + 1] <= 0x20:
+            if b - a < 2 or data[a] != 0x20 or data[a + 1] <= 0x20:
                 alone.append(i)
                 continue
             group.append(i)
@@ -126,19 +153,27 @@ class Encoder:
                 group, size = [], 0
         if group:
             groups.append(group)
-        texts = [b"".join(data[starts[i] : ends[i]] for i in g).decode() for g in groups]
+        order, parts = [], []
+        texts = [b"".join([data[starts[i] : ends[i]] for i in g]).decode() for g in groups]
         for g, ids in zip(groups, self._ids(texts)):
             reached = np.cumsum(self.bytes_of[ids])
             wanted = np.cumsum([ends[i] - starts[i] for i in g])
             stops = np.searchsorted(reached, wanted)
             if len(reached) and reached[-1] == wanted[-1] and (reached[stops] == wanted).all():
-                for i, part in zip(g, np.split(ids, stops[:-1] + 1)):
-                    out[i] = part
+                lengths[g] = np.diff(stops, prepend=-1)
+                order.extend(g)
+                parts.append(ids)
             else:
                 alone.extend(g)
         for i, ids in zip(alone, self._ids([data[starts[i] : ends[i]].decode() for i in alone])):
-            out[i] = ids
-        return out
+            lengths[i] = len(ids)
+            order.append(i)
+            parts.append(ids)
+        flat = np.concatenate(parts) if parts else np.zeros(0, dtype=self.dtype)
+        order = np.array(order, dtype=np.int64)
+        begins = np.zeros(len(starts), dtype=np.int64)
+        begins[order] = np.cumsum(lengths[order]) - lengths[order]
+        return flat[W.ragged(begins, lengths)], lengths
 
 
 @lru_cache(maxsize=2)
