@@ -27,12 +27,17 @@ CATEGORY_WORDS = (
 # The guard keeps text that cannot parse away from the parser, which would
 # otherwise raise and catch an exception for every such row.
 DATETIME_SHAPES = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?)?\z",
-     "yyyy-M-d[ ]['T'][H:m:s][.SSSSSS]"),
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]{1,6})?)?)?\z",
+     "yyyy-M-d[ ]['T'][H:m][:s][.SSSSSS]"),
     (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}\z", "yyyy/M/d"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z", "M/d/yyyy"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z", "d/M/yyyy"),
     (r"^[0-9]{8}\z", "yyyyMMdd"),
 )
+ZONED_PATTERN = (
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?"
+    r"(Z|[+-][0-9]{2}:?[0-9]{2})\z"
+)
 
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}\z"
@@ -68,13 +73,15 @@ def to_money(column: Column, dtype: T.DataType) -> Column:
 
 
 def datetime_from_text(column: Column, shapes: tuple = DATETIME_SHAPES) -> Column:
-    """Timestamp from the first shape the text has; null when it has none."""
+    """Timestamp from the first shape that fits the text; null when none does.
+
+    A stamp with a zone or offset is shown in UTC. Of 3/4/2024 the month comes first; of 15/4/2024 it cannot.
+    """
     bare = F.trim(column)
-    guard, layout = shapes[0]
-    chain = F.when(bare.rlike(guard), F.try_to_timestamp(bare, F.lit(layout)))
-    for guard, layout in shapes[1:]:
-        chain = chain.when(bare.rlike(guard), F.try_to_timestamp(bare, F.lit(layout)))
-    return chain.cast("timestamp_ntz")
+    plain = [F.when(bare.rlike(guard), F.try_to_timestamp(bare, F.lit(layout))) for guard, layout in shapes]
+    zoned = F.when(bare.rlike(ZONED_PATTERN), F.try_to_timestamp(bare)).cast("timestamp_ntz")
+    in_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), zoned)
+    return F.coalesce(*[stamp.cast("timestamp_ntz") for stamp in plain], in_utc)
 
 
 def to_datetime(column: Column, dtype: T.DataType, shapes: tuple = DATETIME_SHAPES) -> Column:

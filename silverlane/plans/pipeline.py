@@ -55,6 +55,10 @@ class Layout:
     def quarantine(self) -> str:
         return f"{self.base}/quarantine"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.base}/rejected_lines"
+
     @property
     def runs(self) -> str:
         return f"{self.base}/logs/pipeline_runs"
@@ -179,7 +183,7 @@ def run_full_pipeline(
     without rows has nothing to transform.
     """
     plans = plans or {}
-    ingested = ingest_sources(spark, sources, layout.bronze, at, run_id, layout.schemas)
+    ingested = ingest_sources(spark, sources, layout.bronze, at, run_id, layout.schemas, layout.rejects)
     landed = [row["source_name"] for row in ingested.filter("status = 'success' AND rows_ingested > 0").collect()]
     stages = ingested.select(
         F.lit(run_id).alias("run_id"), F.lit("ingestion").alias("stage"), "source_name",

@@ -134,3 +134,12 @@ def clean_transactions(spark, sf_dir):
     return cleaned.select(
         *BUSINESS, F.col("_row_seq").alias("row_seq"), F.col("_copies").alias("copies"),
         F.round("_data_quality_score", 6).alias("quality_score"))
+
+
+@query("parse_account_dates", with_views(["acct"], """
+    SELECT account_id, TIMESTAMP '2020-01-01' AS created_date, TIMESTAMP '2024-01-31 12:30:00.5' AS last_updated
+    FROM acct"""))
+def parse_account_dates(spark, sf_dir):
+    """Dates with and without a time and a zone; none is lost."""
+    accounts = view(spark, sf_dir, "acct").select("account_id", "created_date", "last_updated")
+    return cleaning.parse_datetimes(accounts)

@@ -12,7 +12,6 @@ from silverlane.plans.queries_rows import SUSPICIOUS_SQL
 from silverlane.plans.registry import query
 from silverlane.plans.views import EVENTS_AS_OF, ORDERS_AS_OF, view, with_views
 from silverlane.session import work_path
-from silverlane.sources.readers import list_files
 from silverlane.sources.writers import write_log
 
 PERIOD = datetime(2024, 1, 5), datetime(2024, 1, 20)
@@ -132,10 +131,14 @@ def storage_tiering(spark, sf_dir):
         "path", "layer", "age_days", "storage_class")
 
 
-@query("cleanup_manifest")
+@query("cleanup_manifest", with_views(["objects"], """
+    SELECT count(*) AS files, CAST(coalesce(sum(length), 0) AS BIGINT) / 1048576 AS megabytes
+    FROM (SELECT *, CAST(length(path) AS BIGINT) * 1024 AS length FROM objects)
+    WHERE modified_at < TIMESTAMP '2001-08-03' - INTERVAL 365 DAY"""))
 def cleanup_manifest(spark, sf_dir):
-    """Files under the data folder a clean-up at the end of 2099 would remove."""
-    return audit.cleanup_manifest(list_files(spark, sf_dir), datetime(2099, 12, 31))
+    """Stored objects a clean-up would remove; their size is made up from their path."""
+    files = view(spark, sf_dir, "objects").withColumn("length", F.length("path").cast("long") * 1024)
+    return audit.cleanup_manifest(files, ORDERS_AS_OF, 365)
 
 
 # ---- runs and operations ----

@@ -33,12 +33,36 @@ def _txn(spark, sf_dir):
     return view(spark, sf_dir, "txn").select(*_TXN)
 
 
-@query("scan_csv", with_views(["txn"], f"SELECT {_TXN_COLUMNS} FROM txn"))
+_TXN_TYPES = ("account_id string, transaction_id string, transaction_date timestamp_ntz, amount double, "
+              "description string, transaction_type string")
+# Both engines read this: every third description gets a comma, quotes and a line break.
+_QUOTED = """CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 3 = 0
+    THEN description || ', "' || transaction_id || '"' || chr(10) || 'end' ELSE description END"""
+
+
+@query("scan_csv", with_views(["txn"], f"SELECT {_TXN_COLUMNS.replace('description', _QUOTED + ' AS description')} FROM txn"))
 def scan_csv(spark, sf_dir):
     path = work_path(spark, "csv")
-    writers.export_csv(_txn(spark, sf_dir), path)
-    landed = readers.scan_csv(spark, path)
-    return landed.withColumn("transaction_date", F.col("transaction_date").cast("timestamp_ntz"))
+    writers.export_csv(_txn(spark, sf_dir).withColumn("description", F.expr(_QUOTED)), path)
+    return readers.scan_csv(spark, path, _TXN_TYPES, multi_line=True)
+
+
+# Every fifth line has a field too many, every seventh an amount that is none.
+_LINE = """CAST(o_orderkey AS STRING) || ',' || CASE WHEN o_orderkey % 7 = 0 THEN 'none' ELSE '12.5' END ||
+    CASE WHEN o_orderkey % 5 = 0 THEN ',extra' ELSE '' END"""
+
+
+@query("scan_csv_rejected", f"""
+    SELECT {_LINE.replace('STRING', 'VARCHAR')} AS record, CASE WHEN o_orderkey % 5 = 0 THEN 'too_many_fields'
+        ELSE 'missing_or_unreadable_field' END AS reason
+    FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0""")
+def scan_csv_rejected(spark, sf_dir):
+    """Lines that do not fit the schema, with the reason."""
+    path = work_path(spark, "lines")
+    lines = table(spark, sf_dir, "orders").select(F.expr(_LINE).alias("value"))
+    lines.write.text(path)
+    scanned = readers.scan_csv(spark, path, "o_orderkey bigint, amount double", keep_rejected=True, header=False)
+    return readers.split_rejected(scanned)[1]
 
 
 @query("scan_json", with_views(["acct"], f"SELECT {_ACCT_COLUMNS} FROM acct"))
@@ -75,7 +99,7 @@ def multi_source_ingest(spark, sf_dir):
     view(spark, sf_dir, "acct").write.json(f"{root}/in/accounts")
     table(spark, sf_dir, "events").write.parquet(f"{root}/in/payments/2024")
     sources = [
-        Source("transactions", "csv", f"{root}/in/transactions"),
+        Source("transactions", "csv", f"{root}/in/transactions", _TXN_TYPES),
         Source("accounts", "json", f"{root}/in/accounts", lines=True),
         Source("payments", "s3", f"{root}/in/payments", glob="*.parquet"),
         Source("absent", "csv", f"{root}/in/absent"),
@@ -188,9 +212,17 @@ def export_report_json(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
-@query("file_fingerprint")
+@query("file_fingerprint", """
+    SELECT c_custkey, length(c_name) + 1 AS length, sha256(c_name || chr(10)) AS file_hash
+    FROM customer WHERE c_nationkey = 7""")
 def file_fingerprint(spark, sf_dir):
-    return readers.file_fingerprints(spark, sf_dir)
+    """One text file per customer of a nation, hashed as files."""
+    path = work_path(spark, "files")
+    names = table(spark, sf_dir, "customer").filter("c_nationkey = 7").select("c_custkey", "c_name")
+    names.repartition("c_custkey").write.partitionBy("c_custkey").text(path)
+    prints = readers.file_fingerprints(spark, path)
+    return prints.select(
+        F.regexp_extract("path", "c_custkey=([0-9]+)", 1).cast("long").alias("c_custkey"), "length", "file_hash")
 
 
 # ---- end to end ----
@@ -279,3 +311,22 @@ def financial_validation(spark, sf_dir):
     """The validation flow on faulty transactions; shows the metrics it records."""
     out = pipeline.financial_validation(view(spark, sf_dir, "fin_txn"), ORDERS_AS_OF)
     return out["metrics"].select("metric_name", "value", "severity")
+
+
+@query("full_pipeline_dirty", with_views(["txn_dirty"], """
+    SELECT 'transactions' AS source_name, count(*) AS total_rows, round((
+        count(*) FILTER (WHERE TRY_CAST(replace(amount, '£', '') AS DOUBLE) > 0) + count(account_id))
+        / (2.0 * count(*)), 6) AS rule_score, 'success' AS transformed, 1 AS run_records FROM txn_dirty"""))
+def full_pipeline_dirty(spark, sf_dir):
+    """Faulty CSV rows through every stage: the amount rule scores text amounts and the run ends with a record."""
+    root = work_path(spark, "full-dirty")
+    writers.export_csv(view(spark, sf_dir, "txn_dirty").drop("_row_seq"), f"{root}/in")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in view(spark, sf_dir, "txn_dirty").drop("_row_seq").schema)
+    sources = [Source("transactions", "csv", f"{root}/in", schema)]
+    out = pipeline.run_full_pipeline(
+        spark, pipeline.Layout(f"{root}/out"), sources, RUN, INGESTED_AT, {"transactions": PLAN})
+    cards = out["data_quality"].filter(F.col("check") == "business_rules").withColumnRenamed("total_rows", "rows")
+    return cards.select(
+        "source_name", F.col("rows").alias("total_rows"), F.round("score", 6).alias("rule_score"),
+        out["transformation"].select("status").scalar().alias("transformed"),
+        out["run"].agg(F.count(F.lit(1))).scalar().cast("int").alias("run_records"))

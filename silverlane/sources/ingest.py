@@ -6,17 +6,17 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlane.columns import ROW_SEQ, business_columns
 from silverlane.operators.schema import schema_profile
-from silverlane.sources.readers import scan_csv, scan_json, scan_layer, scan_object_store
+from silverlane.sources.readers import CORRUPT, scan_csv, scan_json, scan_layer, scan_object_store, split_rejected
 from silverlane.sources.writers import write_layer, write_log
 
 RESULT_SCHEMA = (
-    "source_name string, source_type string, rows_ingested bigint, output_path string, status string, error string"
+    "source_name string, source_type string, rows_ingested bigint, rows_rejected bigint, output_path string, status string, error string"
 )
 
 
@@ -31,10 +31,11 @@ class Source:
     file_format: str = "parquet"
     glob: str | None = None
     lines: bool = False
+    multi_line: bool = False
 
     @staticmethod
     def from_config(config: dict[str, Any]) -> "Source":
-        known = {k: config[k] for k in ("schema", "file_format", "glob", "lines") if k in config}
+        known = {k: config[k] for k in ("schema", "file_format", "glob", "lines", "multi_line") if k in config}
         return Source(config["name"], config["type"], config["path"], **known)
 
 
@@ -57,7 +58,7 @@ def add_ingest_metadata(df: DataFrame, ingested_at: datetime, source_file: str |
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
     if source.type == "csv":
-        return scan_csv(spark, source.path, source.schema)
+        return scan_csv(spark, source.path, source.schema, source.multi_line, keep_rejected=True)
     if source.type == "json":
         return scan_json(spark, source.path, source.schema, source.lines)
     if source.type in ("object_store", "s3"):
@@ -67,26 +68,37 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
 
 def ingest_sources(
     spark: SparkSession, sources: list[Source], bronze: str, ingested_at: datetime, run_id: str,
-    schemas: str | None = None,
+    schemas: str | None = None, rejects: str | None = None,
 ) -> DataFrame:
     """Land every source; a failing one is recorded and the others go on.
 
+    Lines of a CSV source that do not fit its schema are counted, and stored with a reason where ``rejects`` says.
+
     With ``schemas`` the schema found in each source is added to that table, one
     snapshot per ingest time.
     """
     results = []
     for source in sources:
         try:
-            landed = add_ingest_metadata(read_source(spark, source), ingested_at)
+            scanned, lost = read_source(spark, source), None
+            if CORRUPT in scanned.columns:
+                lost = Observation(f"rejected-{source.name}-{run_id}")
+                _, rejected = split_rejected(scanned)
+                counted = scanned.observe(lost, F.count(CORRUPT).alias("rows"))
+                scanned = counted.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            landed = add_ingest_metadata(scanned, ingested_at)
             path, seen = write_layer(landed, bronze, source.name, ingested_at, run_id)
+            lost_rows = lost.get["rows"] if lost else 0
+            if lost_rows and rejects:
+                write_log(rejected, f"{rejects}/{source.name}", run_id)
             if schemas:
                 stored = scan_layer(spark, path, run_id).drop("year", "month")
                 snapshot = schema_profile(stored).select(
                     F.lit(source.name).alias("schema_name"), F.lit(int(ingested_at.timestamp())).alias("snapshot"), "*"
                 )
                 write_log(snapshot, f"{schemas}/{source.name}", run_id)
-            results.append((source.name, source.type, seen["rows"], path, "success", None))
+            results.append((source.name, source.type, seen["rows"], lost_rows, path, "success", None))
         except Exception as problem:  # noqa: BLE001 - any failure of one source must not stop the rest
             message = str(problem).split("\n")[0]
-            results.append((source.name, source.type, None, None, "failed", message))
+            results.append((source.name, source.type, None, None, None, "failed", message))
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,12 +14,41 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. A given schema saves the extra pass that infers one."""
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False,
+    keep_rejected: bool = False, header: bool = True,
+) -> DataFrame:
+    """CSV, with a header unless said otherwise, quoted by ``"`` with ``""`` inside quotes. An empty field is null.
+
+    A given schema saves the extra pass that infers one. With ``multi_line`` quoted text may hold line breaks; a file
+    is then one task. With ``keep_rejected`` lines that do not fit the schema keep their text in ``_corrupt_record``,
+    which is null for all others; ``split_rejected`` takes the two apart.
+    """
+    reader = spark.read.options(
+        header=header, encoding="UTF-8", enforceSchema=not header, quote='"', escape='"', multiLine=multi_line
+    )
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        schema = reader.option("inferSchema", True).csv(path).schema
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if keep_rejected:
+        # Whether a line fits must not depend on the columns a query happens to read.
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False)
+        fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(fields).csv(path)
+
+
+def split_rejected(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit, and (record, reason) of the lines that do not."""
+    width = len(scanned.columns) - 1
+    texts = ", ".join(f"c{i} string" for i in range(width + 1))
+    extra = F.from_csv(F.col(CORRUPT), F.lit(texts), {"escape": '"'})[f"c{width}"]
+    # Spark reads the text of a bad line only along with a field; the hash of all fields is always above its least value.
+    parsed = F.hash(*[c for c in scanned.columns if c != CORRUPT]) >= F.lit(-(1 << 31))
+    rejected = scanned.filter(F.col(CORRUPT).isNotNull() & parsed).select(
+        F.col(CORRUPT).alias("record"),
+        F.when(extra.isNotNull(), "too_many_fields").otherwise("missing_or_unreadable_field").alias("reason"),
+    )
+    return scanned.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rejected
 
 
 def scan_json(
@@ -66,10 +100,37 @@ def list_files(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def file_fingerprints(spark: SparkSession, *paths: str) -> DataFrame:
-    """SHA-256 of every file under the paths, one file per task step."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    return files.select("path", "length", F.sha2("content", 256).alias("file_hash"))
+PIECE_BYTES = 64 << 20
+
+
+def file_fingerprints(spark: SparkSession, *paths: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """SHA-256 of every file under the paths.
+
+    Files are hashed in pieces of ``piece_bytes``, each by whichever task gets it. A file of one piece has the hash of
+    its content; a longer one the hash of its pieces' hashes, in order. Spark does not list empty files.
+    """
+    files = list_files(spark, *paths).select("path", "length")
+    last = F.greatest(F.lit(0), F.ceil(F.col("length") / piece_bytes) - 1)
+    pieces = files.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("path", "piece")
+
+    def hashed(batches):
+        for batch in batches:
+            hashes = []
+            for path, piece in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with store.open_input_file(name) as file:
+                    file.seek(piece * piece_bytes)
+                    hashes.append(hashlib.sha256(file.read(piece_bytes)).digest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes)], names=["path", "length", "piece", "hash"])
+
+    found = pieces.mapInArrow(hashed, "path string, length bigint, piece bigint, hash binary")
+    ordered = F.array_sort(F.collect_list(F.struct("piece", "hash")))
+    grouped = found.groupBy("path", "length").agg(ordered.alias("pieces"))
+    joined = F.aggregate("pieces", F.lit(b""), lambda whole, p: F.concat(whole, p["hash"]))
+    return grouped.select(
+        "path", "length",
+        F.when(F.size("pieces") == 1, F.lower(F.hex(F.col("pieces")[0]["hash"]))).otherwise(F.sha2(joined, 256)).alias("file_hash"),
+    )
 
 
 def fingerprint_or_path_hash(wanted: DataFrame, fingerprints: DataFrame) -> DataFrame:

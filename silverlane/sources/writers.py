@@ -60,8 +60,8 @@ def write_log(rows: DataFrame, path: str, run_id: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one part per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header, one part per task; quotes inside quoted text are doubled, as ``scan_csv`` reads them."""
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def export_report_json(tables: dict[str, DataFrame], path: str) -> None:
