@@ -9,8 +9,9 @@ prefixes are joined. Before a pair is verified, once, on the whole sets, it must
 * the suffix filter: n-grams fall into 512 classes by hash, and sets differ in at least as many n-grams as there are
   classes whose counts differ in parity.
 
-Large groups are joined in two rounds, so that they cost no square of their size in pairs: first every set meets two
-leaders of each shared prefix n-gram; then only sets that are still in different components meet. Equal sets are one
+Large groups are joined in rounds, so that they cost no square of their size in pairs: first every set meets two leaders
+of each shared prefix n-gram (``LEADER_ROUNDS`` times, where one is still shared by several components); at last only
+sets that are still in different components meet. Equal sets are one
 set throughout. Links are found by 64-bit hashes of n-grams.
 """
 
@@ -34,6 +35,7 @@ RARITY_BITS = 20
 CHUNK_BITS = 14
 PARITY_LONGS = 8
 MEMBERS_PER_TASK = 4096
+LEADER_ROUNDS = 1
 
 _PARITY = [f"p{i}" for i in range(PARITY_LONGS)]
 _MEASURED = "key bigint, n bigint, same_a bigint, same_b bigint, chunk int, counts binary"
@@ -174,7 +176,7 @@ def _errand_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Recor
 def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """A host's own set comes before those that visit it."""
     host, own = None, np.zeros(0, dtype=np.uint64)
-    for batch in batches:
+    for batch in (whole.slice(low, 256) for whole in batches for low in range(0, whole.num_rows, 256)):
         found = []
         for key, at, is_own, grams in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
             other = np.frombuffer(grams, dtype=np.uint64)
@@ -235,38 +237,25 @@ def jaccard_groups(df: DataFrame, key: str, text: str, n: int, num: int, den: in
 
 def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(node, component) of all linked keys."""
-    member = F.struct(F.xxhash64("key").alias("h"), "key", "n", "place")
-    tokens = stored(entries.groupBy("token").agg(
-        F.count("*").alias("n"), F.min(member).alias("low"), F.max(member).alias("high")
-    ).filter("n > 1"), "shared-tokens")
+    counts = entries.groupBy("token").agg(F.count("*").alias("n"), *_leaders(0)).filter("n > 1")
+    tokens = stored(counts, "shared-tokens")
     total = tokens.agg(F.sum("n")).first()[0] or 0
-    member_rows = entries.withColumnRenamed("n", "size")
-    attached = attach_by_key(member_rows, tokens, "token", total, ["low", "high"]).filter("low IS NOT NULL")
-    shared = stored(attached, "shared-entries")
-
-    columns = [F.col("key").alias("x_key"), F.col("size").alias("x_n"), F.col("place").alias("x_place")]
-    met = shared.select(*columns, F.explode(F.array("low", "high")).alias("l")).select(
-        "x_key", "x_n", "x_place", F.col("l.key").alias("y_key"), F.col("l.n").alias("y_n"), F.col("l.place").alias("y_place"))
-    near = met.filter((F.col("x_key") != F.col("y_key")) & _may_link(num, den, "x_", "y_", parity=False))
-    pairs = near.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
-    parity = prefixes.select("key", "n", *_PARITY)
-    x = parity.select(*[F.col(c).alias(f"x_{c}") for c in parity.columns])
-    y = parity.select(*[F.col(c).alias(f"y_{c}") for c in parity.columns])
-    first = stored(pairs.join(x, F.col("a") == F.col("x_key")).join(y, F.col("b") == F.col("y_key")).filter(
-        _may_link(num, den, "x_", "y_", places=False)).select("a", "b"), "leader-pairs")
-    links = stored(_verified(docs, first, n, num, den), "leader-links")
-    joined = components(links, "a", "b")
-
-    labelled = shared.select("token", "key", F.col("size").alias("n"), "place").join(
-        joined.withColumnRenamed("component", "_c"), F.col("key") == F.col("node"), "left"
-    ).withColumn("component", F.coalesce("_c", "key")).select("token", "key", "n", "place", "component")
-    mixed = stored(labelled.groupBy("token").agg(
-        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")
-    ).filter("least < most").withColumn("parts", F.ceil(F.col("n") / MEMBERS_PER_TASK).cast("int")), "open-tokens")
-    total = mixed.agg(F.sum("n")).first()[0] or 0
-    still = attach_by_key(labelled.withColumnRenamed("n", "size"), mixed, "token", total, ["parts"]).filter("parts IS NOT NULL")
-    still = still.withColumnRenamed("size", "n").join(parity.drop("n").withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).drop("_k")
-    still = stored(still, "open-entries")
+    attached = attach_by_key(entries.withColumnRenamed("n", "size"), tokens, "token", total, ["low", "high"])
+    current = stored(attached.filter("low IS NOT NULL"), "shared-entries").withColumn("component", F.col("key"))
+    parity = prefixes.select("key", *_PARITY)
+    seen = links = joined = None
+    for round_ in range(LEADER_ROUNDS):
+        pairs = _leader_pairs(current, parity, num, den)
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "leader-pairs")
+        found = stored(_verified(docs, pairs, n, num, den), "leader-links")
+        seen = pairs if seen is None else seen.unionAll(pairs)
+        links = found if links is None else links.unionAll(found)
+        joined = components(links, "a", "b")
+        current = _still_open(current, joined, round_ + 1)
+    parted = current.withColumn("parts", F.ceil(F.col("rows") / MEMBERS_PER_TASK).cast("int"))
+    marked = parted.join(parity.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).withColumnRenamed("size", "n")
+    kept = ["token", "key", "n", "place", "component", "parts", *_PARITY]
+    still = stored(marked.select(*kept), "open-entries")
     left = still.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     right = still.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     left = left.select(*[F.col(c).alias(f"x_{c}") for c in left.columns])
@@ -276,11 +265,47 @@ def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num
         (F.col("x_token") == F.col("y_token")) & (F.col("x_part") == F.col("y_part")) & (F.col("x_key") < F.col("y_key"))
         & (F.col("x_component") != F.col("y_component")) & _may_link(num, den, "x_", "y_"),
     ).select(F.col("x_key").alias("a"), F.col("y_key").alias("b")).distinct()
-    open_pairs = open_pairs.join(first, ["a", "b"], "left_anti")
-    more = _verified(docs, open_pairs, n, num, den)
+    more = _verified(docs, open_pairs.join(seen, ["a", "b"], "left_anti"), n, num, den)
     return components(links.unionAll(more), "a", "b")
 
 
+def _leaders(round_: int, size: str = "n") -> list[Column]:
+    """Two members of an n-gram, others for other n-grams and rounds, so that a group meets many of its members."""
+    member = F.struct(F.xxhash64(F.lit(round_), "token", "key").alias("h"), "key", F.col(size).alias("n"), "place")
+    return [F.min(member).alias("low"), F.max(member).alias("high")]
+
+
+def _leader_pairs(entries: DataFrame, parity: DataFrame, num: int, den: int) -> DataFrame:
+    """Every entry with the leaders of its n-gram, once per pair, if the filters let it pass."""
+    met = entries.select(
+        F.col("key").alias("x_key"), F.col("size").alias("x_n"), F.col("place").alias("x_place"),
+        F.explode(F.array("low", "high")).alias("l"),
+    ).select("x_key", "x_n", "x_place", F.col("l.key").alias("y_key"), F.col("l.n").alias("y_n"), F.col("l.place").alias("y_place"))
+    near = met.filter((F.col("x_key") != F.col("y_key")) & _may_link(num, den, "x_", "y_", parity=False))
+    pairs = near.groupBy(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).agg(
+        F.first(F.when(F.col("x_key") < F.col("y_key"), F.col("x_n")).otherwise(F.col("y_n"))).alias("x_n"),
+        F.first(F.when(F.col("x_key") < F.col("y_key"), F.col("y_n")).otherwise(F.col("x_n"))).alias("y_n"),
+    )
+    x = parity.select(F.col("key").alias("x_key"), *[F.col(c).alias(f"x_{c}") for c in _PARITY])
+    y = parity.select(F.col("key").alias("y_key"), *[F.col(c).alias(f"y_{c}") for c in _PARITY])
+    return pairs.join(x, F.col("a") == F.col("x_key")).join(y, F.col("b") == F.col("y_key")).filter(
+        _may_link(num, den, "x_", "y_", places=False)).select("a", "b")
+
+
+def _still_open(entries: DataFrame, joined: DataFrame, round_: int) -> DataFrame:
+    """Entries of n-grams whose members are in several components, with the leaders of the next round."""
+    labelled = entries.select("token", "key", "size", "place").join(
+        joined.withColumnRenamed("component", "_c"), F.col("key") == F.col("node"), "left"
+    ).select("token", "key", "size", "place", F.coalesce("_c", "key").alias("component"))
+    labelled = stored(labelled, "labelled-entries")
+    mixed = stored(labelled.groupBy("token").agg(
+        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), *_leaders(round_, "size")
+    ).filter("least < most").withColumn("rows", F.col("n")), "open-tokens")
+    total = mixed.agg(F.sum("n")).first()[0] or 0
+    still = attach_by_key(labelled, mixed, "token", total, ["low", "high", "rows"]).filter("low IS NOT NULL")
+    return stored(still, "open-entries")
+
+
 def first_of_groups(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; rows without a key stay."""
     return without_keys(docs, groups.filter(F.col(key) != F.col("component_id")), key)
