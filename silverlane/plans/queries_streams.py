@@ -57,7 +57,7 @@ def stream_late_data(spark, sf_dir):
     """A fifth of the events arrives after all others; most of it is too late."""
     root = work_path(spark, "stream")
     events = table(spark, sf_dir, "events")
-    totals = None
+    log = jobs.ProgressLog(spark, f"{root}/progress")
     for held_back in (False, True):
         part = events.filter((F.col("event_id") % 5 == 0) == F.lit(held_back))
         part.write.mode("append").parquet(f"{root}/in")
@@ -65,9 +65,10 @@ def stream_late_data(spark, sf_dir):
         kept = jobs.stream_dedupe(stream, ["event_id"], "ts", LATE_DELAY)
         running = jobs.start_append(kept, f"{root}/out", f"{root}/checkpoint")
         running.awaitTermination()
-        rows = jobs.progress_rows(running)
-        totals = rows if totals is None else totals.unionByName(rows)
-    counted = totals.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+        log.wait(running)
+    log.close()
+    counted = jobs.progress_rows(spark, f"{root}/progress").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
     accepted = spark.read.parquet(f"{root}/out").agg(F.count(F.lit(1)).alias("accepted_rows"))
     return counted.withColumn("accepted_rows", accepted.scalar())
 

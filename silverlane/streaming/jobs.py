@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from silverlane.functions.rules import ERRORS, Rule, with_errors
 from silverlane.operators.suspicious import (
     WINDOW_MAX_COUNT, WINDOW_MAX_SUM, alert_columns, over_limits, suspicious_flags, window_totals,
 )
 
+PROGRESS_SCHEMA = "run_id string, batch_id bigint, input_rows bigint, late_rows bigint"
 TRIGGER = "10 seconds"
 FRAUD_DELAY = "30 seconds"
 
@@ -41,14 +43,23 @@ def start_append(df: DataFrame, path: str, checkpoint: str, drain: bool = True)
     return writer.start(path)
 
 
-def medallion_batch(rules: list[Rule], as_of: date, base: str) -> Callable[[DataFrame, int], None]:
+def today() -> date:
+    return datetime.now(timezone.utc).date()
+
+
+def medallion_batch(
+    rules: list[Rule], as_of: date | Callable[[], date], base: str
+) -> Callable[[DataFrame, int], None]:
     """Batch function: validate, flag, and write rows to ``layer=silver`` or ``layer=quarantine``.
 
+    ``as_of`` is a fixed day or, for a stream that runs on, a function asked again for every batch (``today``).
+
     Both layers come from one pass. Output is partitioned by batch id and a batch
     overwrites only its own partitions, so a replayed batch leaves one copy.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        checked = suspicious_flags(with_errors(batch, rules, as_of)).withColumns({
+        day = as_of() if callable(as_of) else as_of
+        checked = suspicious_flags(with_errors(batch, rules, day)).withColumns({
             "layer": F.when(F.size(ERRORS) == 0, F.lit("silver")).otherwise(F.lit("quarantine")),
             "batch_id": F.lit(batch_id),
         })
@@ -61,7 +72,8 @@ def medallion_batch(rules: list[Rule], as_of: date, base: str) -> Callable[[Data
 
 
 def stream_medallion(
-    stream: DataFrame, rules: list[Rule], as_of: date, base: str, checkpoint: str, drain: bool = True
+    stream: DataFrame, rules: list[Rule], as_of: date | Callable[[], date], base: str, checkpoint: str,
+    drain: bool = True,
 ) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(medallion_batch(rules, as_of, base)).option(
         "checkpointLocation", checkpoint
@@ -85,14 +97,48 @@ def stream_dedupe(stream: DataFrame, keys: list[str], timestamp: str, delay: str
     return with_event_time(stream, timestamp).withWatermark(timestamp, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def progress_rows(query: StreamingQuery) -> DataFrame:
-    """Input rows and rows dropped as late, per micro-batch of a finished query.
+class ProgressLog(StreamingQueryListener):
+    """Appends input rows and rows dropped as late of every micro-batch to a table, however long a stream runs.
 
-    Spark keeps the newest ``spark.sql.streaming.numRecentProgressUpdates``.
+    Rows are written every ``every`` batches and when a query ends; ``wait`` returns once a query's end is written.
     """
-    rows = [
-        (int(p["batchId"]), int(p["numInputRows"]),
-         sum(int(s["numRowsDroppedByWatermark"]) for s in p["stateOperators"]))
-        for p in query.recentProgress
-    ]
-    return SparkSession.active().createDataFrame(rows, "batch_id bigint, input_rows bigint, late_rows bigint")
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows: list[tuple] = []
+        self.ended: dict[str, threading.Event] = {}
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - name given by Spark
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        late = sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators)
+        self.rows.append((str(p.runId), int(p.batchId), int(p.numInputRows), late))
+        if len(self.rows) >= self.every:
+            self._write()
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._write()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def _write(self) -> None:
+        if self.rows:
+            rows, self.rows = self.rows, []
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        if not self.ended.setdefault(str(query.runId), threading.Event()).wait(seconds):
+            raise TimeoutError("the end of the query was not reported")
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+
+
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a ``ProgressLog``: run_id, batch_id, input_rows, late_rows."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from silverlane.functions.text import datetime_from_text
 from silverlane.operators import aggregates
 from silverlane.plans import pipeline
 from silverlane.sources import readers, writers
+from silverlane.streaming import jobs
 from silverlane.sources.ingest import Source, ingest_sources
 
 AT = datetime(2024, 2, 1, 6)
@@ -116,3 +117,38 @@ def test_long_files_are_hashed_in_pieces(spark, tmp_path):
     parts = b"".join(hashlib.sha256(data[i : i + 4000]).digest() for i in range(0, len(data), 4000))
     cut = {r["length"]: r["file_hash"] for r in readers.file_fingerprints(spark, str(tmp_path), piece_bytes=4000).collect()}
     assert cut[len(data)] == hashlib.sha256(parts).hexdigest()
+
+
+def test_late_rows_are_counted_over_all_batches(spark, tmp_path):
+    """More batches than Spark keeps in memory."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        for i in range(9):  # one file per batch, an hour apart; the late row of a file is a day behind
+            rows = [(i, datetime(2024, 1, 5, i), 1.0), (100 + i, datetime(2024, 1, 3, i), 1.0)]
+            df = spark.createDataFrame(rows, "event_id long, ts timestamp, value double").coalesce(1)
+            df.write.mode("append").parquet(str(tmp_path / "in"))
+        log = jobs.ProgressLog(spark, str(tmp_path / "progress"), every=2)
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), df.schema, files_per_trigger=1)
+        kept = jobs.stream_dedupe(stream, ["event_id"], "ts", "10 minutes")
+        query = jobs.start_append(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+        log.wait(query)
+        log.close()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    row = jobs.progress_rows(spark, str(tmp_path / "progress")).agg(
+        F.sum("input_rows").alias("rows"), F.sum("late_rows").alias("late")).first()
+    # Lateness is judged by the watermark of two batches before, so the late rows of the first two files pass.
+    assert (row["rows"], row["late"]) == (18, 7)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 11
+
+
+def test_today_is_asked_for_every_batch(spark, tmp_path):
+    days = iter([date(2024, 1, 1), date(2024, 1, 2)])
+    rule = Rule("d", "transaction_date", "transaction_date")
+    run = jobs.medallion_batch([rule], lambda: next(days), str(tmp_path))
+    batch = spark.createDataFrame([("2024-01-02", 5.0)], "transaction_date string, amount double")
+    run(batch, 0)
+    run(batch, 1)
+    layers = {r["batch_id"]: r["layer"] for r in spark.read.parquet(str(tmp_path)).collect()}
+    assert layers == {0: "quarantine", 1: "silver"}
