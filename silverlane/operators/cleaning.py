@@ -33,8 +33,12 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def fill_money_zero(df: DataFrame, overrides: Overrides = None) -> DataFrame:
     types = dict(df.dtypes)
+
+    def known(name: str) -> Column:
+        return F.when(~F.isnan(name), F.col(name)) if types[name] in ("double", "float") else F.col(name)
+
     filled = {
-        name: F.coalesce(F.col(name), F.lit("0" if types[name] == "string" else 0).cast(types[name]))
+        name: F.coalesce(known(name), F.lit("0" if types[name] == "string" else 0).cast(types[name]))
         for name in _with_role(df, "zero", overrides)
     }
     return df.withColumns(filled) if filled else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,16 +23,23 @@ def categorize_transactions(df: DataFrame, column: str = "description") -> DataF
     return df.withColumn("transaction_category", categorize(F.col(column)))
 
 
+def _amount(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null."""
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(column), F.col(column))
+    return F.col(column)
+
+
 def large_transaction_flag(df: DataFrame, column: str = "amount", share: float = LARGE_SHARE) -> DataFrame:
-    """True above the exact 95th percentile; false for a missing amount."""
+    """True above the exact 95th percentile; false for a missing amount or one that is no number."""
     limit = exact_quantiles(df.select(column), {column: share})[column].value
-    above = F.lit(False) if limit is None else F.coalesce(F.col(column) > F.lit(limit), F.lit(False))
+    above = F.lit(False) if limit is None else F.coalesce(_amount(df, column) > F.lit(limit), F.lit(False))
     return df.withColumn("is_large_transaction", above)
 
 
 def amount_percentile(df: DataFrame, column: str = "amount", buckets: int | None = None) -> DataFrame:
     """Rank of each amount as a share of all, ties sharing their average rank."""
-    total = df.agg(F.count(F.col(column))).first()[0]
+    total = df.agg(F.count(_amount(df, column))).first()[0]
     average_rank = (F.col("upto") - F.col("n") + F.col("upto") + 1) / 2
     ranks = value_ranks(df.select(column), column, buckets).select(
         F.col("value").alias(column), "n", (average_rank / F.lit(float(max(1, total)))).alias("amount_percentile")

@@ -11,7 +11,7 @@ from silverlane.columns import money_misfits
 from silverlane.functions.rules import Rule, predicate
 from silverlane.functions.skew import attach_by_key, hot_limit
 from silverlane.functions.text import datetime_from_text
-from silverlane.operators import aggregates
+from silverlane.operators import aggregates, cleaning, enrichment
 from silverlane.plans import pipeline
 from silverlane.sources import readers, writers
 from silverlane.streaming import jobs
@@ -152,3 +152,14 @@ def test_today_is_asked_for_every_batch(spark, tmp_path):
     run(batch, 1)
     layers = {r["batch_id"]: r["layer"] for r in spark.read.parquet(str(tmp_path)).collect()}
     assert layers == {0: "quarantine", 1: "silver"}
+
+
+def test_nan_is_a_missing_amount(spark):
+    rows = [(float(i),) for i in range(1, 21)] + [(float("nan"),), (None,)]
+    df = spark.createDataFrame(rows, "amount double")
+    flagged = enrichment.large_transaction_flag(df).filter("is_large_transaction").collect()
+    assert [r["amount"] for r in flagged] == [20.0]
+    ranks = {r["amount"]: r["amount_percentile"] for r in enrichment.amount_percentile(df.filter("amount <= 20")).collect()}
+    assert ranks[20.0] == 1.0
+    filled = cleaning.fill_money_zero(df).filter("amount = 0").count()
+    assert filled == 2
