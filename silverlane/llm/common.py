@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from silverlane.session import work_path
 
 BROADCAST_KEYS = 1_000_000
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Words: everything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
@@ -20,6 +22,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark) -> None:
+    """Send at most BATCH_ROWS rows at a time to Python, so that memory follows a few texts and not thousands.
+
+    This lowers the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``; a smaller one stays.
+    """
+    now = int(spark.conf.get(BATCH_KEY))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

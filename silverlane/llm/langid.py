@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlane.llm import words as W
-from silverlane.llm.common import seeded_order
+from silverlane.llm.common import seeded_order, small_batches
 
 SAMPLE_ROWS = 2400
 PIECE_CHARS = 1500
@@ -163,6 +163,7 @@ def predict(df: DataFrame, model: Model, key: str, text: str, carry: dict[str, C
     from which held-out pieces were right as often as wanted. A text that is null or has no letter is ``und`` with
     score 0 and is not accepted, and so is every text under a model without languages. Texts are read whole.
     """
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     known = bool(model.languages)
 

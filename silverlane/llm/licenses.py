@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.llm import words as W
+from silverlane.llm.common import small_batches
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -182,6 +183,7 @@ def scan_licenses(
                     ("share", pa.float64())]))),
             ], names=[key, "n_words", "matches"])
 
+    small_batches(df.sparkSession)
     return df.select(key, text).mapInArrow(scan, f"`{key}` {key_type}, n_words bigint, matches array<{MATCH}>")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.skew import attach_by_key
 from silverlane.llm import words as W
-from silverlane.llm.common import BROADCAST_KEYS, stored, without_keys
+from silverlane.llm.common import BROADCAST_KEYS, small_batches, stored, without_keys
 from silverlane.llm.components import components
 
 RARITY_BITS = 20
@@ -36,6 +36,8 @@ CHUNK_BITS = 14
 PARITY_LONGS = 8
 MEMBERS_PER_TASK = 4096
 LEADER_ROUNDS = 1
+LEADER_KINDS = 8
+SEND_BYTES = 4 << 20
 
 _PARITY = [f"p{i}" for i in range(PARITY_LONGS)]
 _MEASURED = "key bigint, n bigint, same_a bigint, same_b bigint, chunk int, counts binary"
@@ -160,17 +162,27 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
 
 
 def _errand_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, type=t) for c, t in zip(columns, types)], names=["key", "host", "part", "own", "grams"])
+
+    rows, size = [], 0
     for batch in batches:
         errands, keys = batch.column(2).to_pylist(), batch.column(0).to_pylist()
         for texts in W.slices(batch.column(1)):
-            rows = []
             for i, s in enumerate(ngram_sets(texts, n), texts.first):
                 data = s.tobytes()
-                rows.extend((keys[i], e["host"], e["part"], e["own"], data) for e in errands[i])
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["key", "host", "part", "own", "grams"])
+                for e in errands[i]:
+                    rows.append((keys[i], e["host"], e["part"], e["own"], data))
+                    size += len(data)
+                    if size >= SEND_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+    if rows:
+        yield batch_of(rows)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -202,6 +214,7 @@ def jaccard_groups(df: DataFrame, key: str, text: str, n: int, num: int, den: in
     links, and so have rows without a key, whose component is null. Rows with the same key are one document. Other
     columns are ignored; an empty table gives an empty result.
     """
+    small_batches(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     measured = stored(docs.mapInArrow(lambda b: _measure(b, n), _MEASURED), "set-sizes")
     rarity = np.zeros(1 << RARITY_BITS, dtype=np.uint32)
@@ -237,11 +250,12 @@ def jaccard_groups(df: DataFrame, key: str, text: str, n: int, num: int, den: in
 
 def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(node, component) of all linked keys."""
-    counts = entries.groupBy("token").agg(F.count("*").alias("n"), *_leaders(0)).filter("n > 1")
-    tokens = stored(counts, "shared-tokens")
+    # Most n-grams of a prefix are in one set only. They are counted alone, before anything travels with them.
+    tokens = stored(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").withColumn("rows", F.col("n")), "shared-tokens")
     total = tokens.agg(F.sum("n")).first()[0] or 0
-    attached = attach_by_key(entries.withColumnRenamed("n", "size"), tokens, "token", total, ["low", "high"])
-    current = stored(attached.filter("low IS NOT NULL"), "shared-entries").withColumn("component", F.col("key"))
+    attached = attach_by_key(entries.withColumnRenamed("n", "size"), tokens, "token", total, ["rows"])
+    shared = stored(attached.filter("rows IS NOT NULL").drop("rows"), "shared-entries")
+    current = _still_open(shared.withColumn("component", F.col("key")), 0)
     parity = prefixes.select("key", *_PARITY)
     seen = links = joined = None
     for round_ in range(LEADER_ROUNDS):
@@ -251,7 +265,7 @@ def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num
         seen = pairs if seen is None else seen.unionAll(pairs)
         links = found if links is None else links.unionAll(found)
         joined = components(links, "a", "b")
-        current = _still_open(current, joined, round_ + 1)
+        current = _still_open(stored(_labelled(current, joined), "labelled-entries"), round_ + 1)
     parted = current.withColumn("parts", F.ceil(F.col("rows") / MEMBERS_PER_TASK).cast("int"))
     marked = parted.join(parity.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).withColumnRenamed("size", "n")
     kept = ["token", "key", "n", "place", "component", "parts", *_PARITY]
@@ -265,13 +279,15 @@ def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num
         (F.col("x_token") == F.col("y_token")) & (F.col("x_part") == F.col("y_part")) & (F.col("x_key") < F.col("y_key"))
         & (F.col("x_component") != F.col("y_component")) & _may_link(num, den, "x_", "y_"),
     ).select(F.col("x_key").alias("a"), F.col("y_key").alias("b")).distinct()
-    more = _verified(docs, open_pairs.join(seen, ["a", "b"], "left_anti"), n, num, den)
+    more = stored(_verified(docs, open_pairs.join(seen, ["a", "b"], "left_anti"), n, num, den), "open-links")
     return components(links.unionAll(more), "a", "b")
 
 
 def _leaders(round_: int, size: str = "n") -> list[Column]:
-    """Two members of an n-gram, others for other n-grams and rounds, so that a group meets many of its members."""
-    member = F.struct(F.xxhash64(F.lit(round_), "token", "key").alias("h"), "key", F.col(size).alias("n"), "place")
+    """Two members of an n-gram. They differ between LEADER_KINDS kinds of n-gram and between rounds, so that a group
+    meets several of its members, but as few in long texts as in short ones."""
+    kind = F.pmod("token", F.lit(LEADER_KINDS))
+    member = F.struct(F.xxhash64(F.lit(round_), kind, "key").alias("h"), "key", F.col(size).alias("n"), "place")
     return [F.min(member).alias("low"), F.max(member).alias("high")]
 
 
@@ -292,12 +308,15 @@ def _leader_pairs(entries: DataFrame, parity: DataFrame, num: int, den: int) ->
         _may_link(num, den, "x_", "y_", places=False)).select("a", "b")
 
 
-def _still_open(entries: DataFrame, joined: DataFrame, round_: int) -> DataFrame:
-    """Entries of n-grams whose members are in several components, with the leaders of the next round."""
-    labelled = entries.select("token", "key", "size", "place").join(
+def _labelled(entries: DataFrame, joined: DataFrame) -> DataFrame:
+    """Entries with the component of their set."""
+    return entries.select("token", "key", "size", "place").join(
         joined.withColumnRenamed("component", "_c"), F.col("key") == F.col("node"), "left"
     ).select("token", "key", "size", "place", F.coalesce("_c", "key").alias("component"))
-    labelled = stored(labelled, "labelled-entries")
+
+
+def _still_open(labelled: DataFrame, round_: int) -> DataFrame:
+    """Entries of n-grams whose members are in several components, with the leaders of the next round."""
     mixed = stored(labelled.groupBy("token").agg(
         F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), *_leaders(round_, "size")
     ).filter("least < most").withColumn("rows", F.col("n")), "open-tokens")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.llm import words as W
-from silverlane.llm.common import stored
+from silverlane.llm.common import small_batches, stored
 
 WINDOW = 13
 MAX_CELLS = 1 << 28
@@ -188,6 +188,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, n: int = WINDOW) -> DataF
     shorter than a window stay whole. Other columns are ignored; an empty table gives an empty result.
     """
     spark = df.sparkSession
+    small_batches(spark)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     keyed = docs.filter(F.col("key").isNotNull())
     n_bytes = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
