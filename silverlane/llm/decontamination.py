@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from silverlane.llm import words as W
-from silverlane.llm.common import stored, word_count
+from silverlane.llm.common import small_batches, stored, word_count
 
 MIN_RUN = 6
 COVERAGE = 0.5
@@ -92,17 +93,19 @@ def contaminated(
     results. Other columns are ignored. ``tiles`` has item place, text place and length of each run.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     numbered = stored(items.select(F.col(item_key).alias("item"), F.col(item_text).alias("text")).withColumn(
         "n", word_count(F.col("text"))).filter(F.col("n") > 0), "items")
     blocks = stored(_blocks(numbered), "item-blocks")
     n_blocks = (blocks.agg(F.max("block")).first()[0] or 0) + 1
     key_type, item_type = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
+    item_arrow = to_arrow_type(items.schema[item_key].dataType)
     out = None
     for block in range(n_blocks):
         rows = [(row["item"], row["text"]) for row in blocks.filter(F.col("block") == block).collect()]
         shared = spark.sparkContext.broadcast(rows)
         found = docs.select(key, text).mapInArrow(
-            _finder(shared, min_run, coverage, key, item_key),
+            _finder(shared, min_run, coverage, key, item_key, item_arrow),
             f"`{key}` {key_type}, `{item_key}` {item_type}, n_item_words bigint, n_covered bigint, coverage double, "
             "n_tiles bigint, first_word bigint, tiles array<struct<item:bigint, text:bigint, length:bigint>>",
         )
@@ -117,7 +120,7 @@ def _blocks(items: DataFrame) -> DataFrame:
     return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
 
 
-def _finder(shared, min_run: int, coverage: float, key: str, item_key: str):
+def _finder(shared, min_run: int, coverage: float, key: str, item_key: str, item_arrow: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [text for _, text in shared.value]
         words = [W.split(t, W.NOT_SPACE, W.LOWER) for t in W.slices(pa.array(texts, type=pa.string()))]
@@ -160,7 +163,7 @@ def _finder(shared, min_run: int, coverage: float, key: str, item_key: str):
             if results:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array([r[0] for r in results])),
-                    pa.array([shared.value[r[1]][0] for r in results]),
+                    pa.array([shared.value[r[1]][0] for r in results], type=item_arrow),
                     pa.array([r[2] for r in results], type=pa.int64()),
                     pa.array([r[3] for r in results], type=pa.int64()),
                     pa.array([r[3] / r[2] for r in results]),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.llm import words as W
-from silverlane.llm.common import seeded_order, stored
+from silverlane.llm.common import seeded_order, small_batches, stored
 
 LISTS = 8
 MINED_WORDS = 240
@@ -203,6 +203,7 @@ def score_toxicity(
     patterns alone decide. Other columns never enter a score. An empty table gives an empty result.
     """
     carry = carry or {}
+    small_batches(docs.sparkSession)
     truth = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     labelled = truth.filter(F.col("_label").isNotNull())
     drawn = min(1.0, MINE_ROWS / max(1, labelled.count()))
@@ -219,14 +220,15 @@ def score_toxicity(
     patterns = learned.groupBy(*[v.alias(f"v{i}") for i, v in enumerate(votes)], known_label).agg(
         F.count("*").alias("n")
     ).collect()
-    base = truth.agg(F.avg((F.col("_label") == 1).cast("double"))).first()[0]
     if not patterns:
         return counted.select(key, *carry, F.lit(0.0).alias("score"), "hits")
     place = {v: i for i, v in enumerate(sorted({tuple(row[f"v{i}"] for i in range(len(votes))) for row in patterns}))}
     table, counts = np.array(list(place)), np.zeros((len(place), 3))
     for row in patterns:
         counts[place[tuple(row[f"v{i}"] for i in range(len(votes)))], row["known"]] += row["n"]
-    model = LabelModel(table, counts, min(max(base if base is not None else 0.1, 0.01), 0.5))
+    known_rows = counts[:, 1:].sum(0)
+    base = known_rows[1] / known_rows.sum() if known_rows.sum() else 0.1  # of rows whose labels may be used
+    model = LabelModel(table, counts, min(max(base, 0.01), 0.5))
     posterior = {tuple(v): q for v, q in zip(table.tolist(), model.posterior(table))}
     share = min(1.0, SAMPLE_ROWS / counts.sum())
     drawn = counted.filter("_learn").filter(seeded_order(seed, key) <= F.lit(share * (1 << 60))).select(

@@ -53,7 +53,7 @@ def test_reordered_passage_is_found_and_clean_text_left_alone(spark):
         items[1] + "\n" + items[2], "a short item here", *odd_texts(),
     ]
     df = documents(spark, texts)
-    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").selectExpr("*", "1 AS coverage")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string").selectExpr("*", "1 AS coverage")
     rows = contaminated(df, bench, "doc_id", "text", "item_id", "text").collect()
     got = {(r.doc_id, r.item_id): (r.n_covered, r.n_tiles, r.first_word) for r in rows}
     assert got == {(0, 0): (40, 1, 0), (1, 0): (40, 2, 2), (4, 1): (40, 1, 0), (4, 2): (40, 1, 40), (5, 5): (2, 1, 1)}
@@ -67,3 +67,5 @@ def test_empty_tables(spark):
     assert contaminated(empty(spark, df), bench, *args).collect() == []
     assert contaminated(df, empty(spark, bench), *args).collect() == []
     assert contaminated(df.unionAll(df), bench, *args).count() == 2
+    nameless = bench.selectExpr("CAST(NULL AS BIGINT) AS item_id", "text")
+    assert [r.item_id for r in contaminated(df, nameless, *args).collect()] == [None]

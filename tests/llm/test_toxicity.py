@@ -40,7 +40,6 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     turned = labels.withColumn("toxic", F.when(F.col("doc_id") % 4 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     df = documents(spark, texts)
     a, b = scores(df, labels), scores(df, turned)
-    # The share of toxic labels is taken from all labels that may be used only.
     assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
 
 
