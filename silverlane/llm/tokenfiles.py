@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from silverlane.llm import wavelet
 from silverlane.llm import words as W
-from silverlane.llm.common import stored
+from silverlane.llm.common import small_batches, stored
 from silverlane.session import work_path
 
-SHARD_IDS = 1 << 22
+SHARD_IDS = 1 << 21
 MAX_READERS = 10_000
 FILES = "part bigint, number bigint, path string, n_ids bigint, n_texts bigint"
 
@@ -40,13 +40,14 @@ def write_token_files(
     Rows with equal keys are ordered by text. A file holds whole texts, so a text longer than a shard makes a larger
     file. An empty table writes nothing.
     """
+    small_batches(df.sparkSession)
     folder = folder or work_path(df.sparkSession, "token-files")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from silverlane.llm.tokens import encoder
+        from silverlane.llm.tokens import Encoder
 
         part, number = TaskContext.get().partitionId(), 0
-        tokenizer = encoder(tokenizer_path)
+        tokenizer = Encoder(tokenizer_path)  # gone with the task: idle workers shall not hold its cache
         width = max(1, int(tokenizer.size - 1).bit_length())
         ids, keys, lengths, held = [], [], [], 0
 

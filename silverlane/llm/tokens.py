@@ -9,7 +9,6 @@ whole.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from tokenizers import Tokenizer
 
 from silverlane.llm import words as W
 
-CACHE_ENTRIES = 1 << 21
+CACHE_ENTRIES = 1 << 19
 _JOIN_BYTES = 1 << 15
 
 # Bytes that may follow a blank at a cut: ASCII but white space and controls, and the first byte of Latin letters.
@@ -176,12 +175,6 @@ class Encoder:
         return flat[W.ragged(begins, lengths)], lengths
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process, so that its cache serves all its tasks."""
-    return Encoder(path)
-
-
 def encode_texts(tokenizer: Encoder, texts: list[str | None], end: int | None = None) -> list[list[int]]:
     """Ids of each text, for small inputs."""
     out = []
