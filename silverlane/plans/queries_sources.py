@@ -225,6 +225,26 @@ def file_fingerprint(spark, sf_dir):
         F.regexp_extract("path", "c_custkey=([0-9]+)", 1).cast("long").alias("c_custkey"), "length", "file_hash")
 
 
+FILE_KEYS = 100_000
+
+
+@query("file_fingerprint_all", f"""
+    SELECT c_nationkey, c_custkey // {FILE_KEYS} AS key_range, CAST(sum(strlen(coalesce(c_name, '')) + 1) AS BIGINT) AS length,
+        sha256(string_agg(coalesce(c_name, '') || chr(10), '' ORDER BY c_custkey)) AS file_hash
+    FROM customer GROUP BY 1, 2""")
+def file_fingerprint_all(spark, sf_dir):
+    """Every customer in text files, one per nation and range of FILE_KEYS keys, hashed as files."""
+    path = work_path(spark, "files")
+    names = table(spark, sf_dir, "customer").select(
+        "c_nationkey", F.floor(F.col("c_custkey") / FILE_KEYS).alias("key_range"), "c_custkey", "c_name")
+    dealt = names.repartition("c_nationkey", "key_range").sortWithinPartitions("c_nationkey", "key_range", "c_custkey")
+    dealt.drop("c_custkey").write.partitionBy("c_nationkey", "key_range").text(path)
+    prints = readers.file_fingerprints(spark, path)
+    return prints.select(
+        F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int").alias("c_nationkey"),
+        F.regexp_extract("path", "key_range=([0-9]+)", 1).cast("long").alias("key_range"), "length", "file_hash")
+
+
 # ---- end to end ----
 
 _DIRTY_COLUMNS = ("account_id", "transaction_id", "transaction_date", "amount", "description", "transaction_type",

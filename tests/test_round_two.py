@@ -13,11 +13,13 @@ from silverlane.functions.skew import attach_by_key, hot_limit
 from silverlane.functions.text import datetime_from_text
 from silverlane.operators import aggregates, cleaning, enrichment
 from silverlane.plans import pipeline
+from silverlane.plans.registry import QUERIES, load_all
 from silverlane.sources import readers, writers
 from silverlane.streaming import jobs
 from silverlane.sources.ingest import Source, ingest_sources
 
 AT = datetime(2024, 2, 1, 6)
+load_all()
 
 
 def test_money_is_rounded_after_adding(spark):
@@ -163,3 +165,16 @@ def test_nan_is_a_missing_amount(spark):
     assert ranks[20.0] == 1.0
     filled = cleaning.fill_money_zero(df).filter("amount = 0").count()
     assert filled == 2
+
+
+def test_fingerprints_cover_every_customer(spark, tmp_path):
+    keys = [*range(1, 400), *range(100_000, 100_400), 250_000]
+    rows = [(k, f"Customer#{k}" if k % 50 else None, k % 3) for k in keys]
+    df = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int").repartition(5)
+    df.write.parquet(str(tmp_path / "customer.parquet"))
+    want = {}
+    for key, name, nation in rows:
+        want[nation, key // 100_000] = want.get((nation, key // 100_000), "") + (name or "") + "\n"
+    found = QUERIES["file_fingerprint_all"](spark, str(tmp_path)).collect()
+    assert {(r["c_nationkey"], r["key_range"]): (r["length"], r["file_hash"]) for r in found} == {
+        file: (len(text), hashlib.sha256(text.encode()).hexdigest()) for file, text in want.items()}
