@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverlane.functions.skew import attach_by_key
 from silverlane.llm import words as W
 from silverlane.llm.common import seeded_order, small_batches, stored
 
@@ -32,6 +33,8 @@ MIN_CORRELATION = 0.2
 MINE_ROWS = 20000
 SAMPLE_ROWS = 20000
 ROUNDS = 60
+BANDS, BAND_ROWS = 8, 4
+NEAR = 0.8
 SHOUT, BANGS = 0.6, 0.02
 
 # Insults known without any label.
@@ -45,17 +48,45 @@ def _letter_words(text: Column) -> Column:
                                 F.lit("([a-z\\u0080-\\x{10FFFF}]+)"), 1)
 
 
-def mine_words(labelled: DataFrame, text: str, label: str) -> list[tuple[str, float]]:
-    """Words that mark the label, with their precision, best first, at most MINED_WORDS.
+def _least_hash(seed: int) -> Column:
+    return F.array_min(F.transform("hashes", lambda h: F.xxhash64(h, F.lit(seed))))
+
+
+def _copies_once(rows: DataFrame) -> DataFrame:
+    """(words, toxic), one row for each set of near copies with the same label.
 
-    Near copies count once: of rows with the same least word hash and label one stays.
+    Rows with the same set of all their words (numbers too) are one. Of the others a row goes only for another row that
+    agrees in one of BANDS bands of BAND_ROWS minimum hashes and, compared word by word, has a Jaccard of NEAR or more
+    with it: the first row of the band, so that a band costs one pair a row. Unrelated texts all stay.
     """
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9\\u0080-\\x{10FFFF}]+)"), 1))
+    whole = rows.withColumn("tokens", F.array_sort(tokens)).withColumn(
+        "place", F.struct(F.size("tokens").alias("n"), F.md5(F.array_join("tokens", " ")).alias("id"), "toxic")
+    ).groupBy("place").agg(F.first("tokens").alias("tokens"), F.first("words").alias("words"))
+    whole = stored(whole, "toxic-sets")
+    bands = F.array(*[
+        F.xxhash64(F.lit(b), "place.toxic", *[_least_hash(r) for r in range(b * BAND_ROWS, (b + 1) * BAND_ROWS)])
+        for b in range(BANDS)
+    ])
+    hashed = whole.withColumn("hashes", F.transform("tokens", lambda w: F.xxhash64(w)))
+    banded = stored(hashed.select("place", F.explode(bands).alias("band")), "toxic-bands")
+    firsts = banded.groupBy("band").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    met = attach_by_key(banded, firsts, "band", banded.count(), ["first"])
+    pairs = stored(met.filter("place <> first").select("place", "first").distinct(), "toxic-pairs")
+    others = pairs.groupBy("first").agg(F.count("*").alias("n")).join(
+        whole.select(F.col("place").alias("first"), F.col("tokens").alias("others")), "first")
+    shared = F.size(F.array_intersect("tokens", "others"))
+    both = attach_by_key(pairs, others, "first", pairs.count(), ["others"]).join(whole.select("place", "tokens"), "place")
+    near = both.filter(shared >= NEAR * (F.size("tokens") + F.size("others") - shared)).select("place").distinct()
+    return whole.join(near, "place", "left_anti").select("words", "place.toxic")
+
+
+def mine_words(labelled: DataFrame, text: str, label: str) -> list[tuple[str, float]]:
+    """Words that mark the label, with their precision, best first, at most MINED_WORDS. Near copies count once."""
     worded = labelled.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
-        F.array_distinct(_letter_words(F.col(text))).alias("words"), (F.col(label) == 1).alias("toxic")
+        F.col(text).alias("text"), F.array_distinct(_letter_words(F.col(text))).alias("words"), (F.col(label) == 1).alias("toxic")
     ).filter(F.size("words") > 0)
-    worded = worded.withColumn("least", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
-    once = worded.groupBy("least", "toxic").agg(F.min_by("words", F.struct(F.size("words"), F.hash("words"))).alias("words"))
-    once = stored(once, "toxic-words")
+    once = stored(_copies_once(worded), "toxic-words")
     sums = once.agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.count("*").alias("all")).first()
     toxic, clean = sums["toxic"] or 0, (sums["all"] or 0) - (sums["toxic"] or 0)
     counted = once.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(

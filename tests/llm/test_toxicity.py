@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from silverlane.llm.toxicity import LabelModel, mine_words, score_toxicity
+from silverlane.llm.toxicity import LabelModel, _copies_once, mine_words, score_toxicity
 from tests.llm.helpers import documents, empty, odd_texts, prose
 
 
@@ -73,3 +73,16 @@ def test_odd_rows(spark):
     assert scores(df, odd).keys() == got.keys()
     assert scores(empty(spark, df), odd) == {}
     assert len(score_toxicity(df.unionAll(df), odd, "doc_id", "text", "toxic", F.lit(True)).collect()) == 2 * len(got)
+
+
+def test_mining_counts_unrelated_texts_that_share_words(spark):
+    rng = random.Random(7)
+    letters = [a + b + c for a in "bcdf" for b in "aeiou" for c in "lmnprst"]
+    # Every text has all of ten common words, so least hashes are often the same.
+    common = letters[:10]
+    rows = [(" ".join(common + rng.sample(letters[10:], 25)), 0) for _ in range(200)]
+    rows += [(" ".join(["vermin"] + common + rng.sample(letters[10:], 25)), 1) for _ in range(30)]
+    df = spark.createDataFrame(rows, "text string, toxic int").selectExpr("text", "split(text, ' ') AS words", "toxic = 1 AS toxic")
+    assert _copies_once(df).groupBy("toxic").count().orderBy("toxic").collect() == [(False, 200), (True, 30)]
+    copies = df.unionAll(df).unionAll(df.selectExpr("text || ' e7'", "words", "toxic"))
+    assert _copies_once(copies).count() == 230
