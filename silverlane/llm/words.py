@@ -13,8 +13,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 19
+LONG_SPAN = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,25 +44,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@cache
-def _byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-
-
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, SLICE_BYTES * 2)
-        for name, base in (("up", int(_ODD)), ("down", pow(int(_ODD), -1, 1 << 64))):
-            full = np.full(size, np.uint64(base))
-            full[0] = 1
-            _POWERS[name] = np.multiply.accumulate(full)
-    return _POWERS["up"], _POWERS["down"]
-
-
 class Texts(NamedTuple):
     """Some texts of a batch: rows ``first`` and on, their bytes, and where each begins (one more for the end)."""
 
@@ -115,15 +98,69 @@ def split(texts: Texts, is_word: np.ndarray, fold: np.ndarray | None = None) ->
     return Words(starts, ends, hashes, np.searchsorted(starts, begins))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each span, wherever in the data it stands."""
-    n = len(data)
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_byte_values()[data] * up[:n], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    hashes += (ends - starts).astype(np.uint64) * _ODD
-    return mix(hashes)
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the data."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+#: Which of eight bytes count when so many are left.
+_LEFT = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of the bytes of each span, wherever in the data it stands.
+
+    Eight bytes at a time are put into the state, which is scrambled each time, so no rule of arithmetic makes two
+    different words alike. Spans over ``LONG_SPAN`` bytes are hashed one by one. Other seeds give independent hashes.
+    """
+    lengths = ends - starts
+    eights = _eights(data)
+    hashes = mix((lengths.astype(np.uint64) + np.uint64(seed << 32)) * _ODD)
+    live = np.flatnonzero((lengths > 0) & (lengths <= LONG_SPAN))
+    at, left, done = starts[live], lengths[live], hashes[live]
+    while len(live):
+        done = mix((done ^ (eights[at] & _LEFT[np.minimum(left, 8)])) + _ODD)
+        hashes[live] = done
+        more = np.flatnonzero(left > 8)
+        live, at, left, done = live[more], at[more] + 8, left[more] - 8, done[more]
+    for i in np.flatnonzero(lengths > LONG_SPAN).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
+    return hashes
+
+
+def same_spans(
+    data: np.ndarray, starts: np.ndarray, other: np.ndarray, other_starts: np.ndarray, lengths: np.ndarray
+) -> np.ndarray:
+    """Whether spans of equal lengths in two byte arrays have the same bytes."""
+    mine, theirs = _eights(data), _eights(other)
+    same = np.ones(len(lengths), dtype=bool)
+    live = np.flatnonzero((lengths > 0) & (lengths <= LONG_SPAN))
+    a, b, left = starts[live], other_starts[live], lengths[live]
+    while len(live):
+        equal = (mine[a] ^ theirs[b]) & _LEFT[np.minimum(left, 8)] == 0
+        same[live[~equal]] = False
+        more = np.flatnonzero(equal & (left > 8))
+        live, a, b, left = live[more], a[more] + 8, b[more] + 8, left[more] - 8
+    for i in np.flatnonzero(lengths > LONG_SPAN).tolist():
+        n = int(lengths[i])
+        same[i] = np.array_equal(data[starts[i] : starts[i] + n], other[other_starts[i] : other_starts[i] + n])
+    return same
+
+
+def numbers(texts: Texts, words: Words, fold: np.ndarray | None = None) -> np.ndarray:
+    """A number for each word of a slice, the same for equal words only: words with equal hashes are compared."""
+    hashes, lengths = words.hashes, words.ends - words.starts
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    data = texts.data if fold is None else fold[texts.data]
+    model = first[number]
+    alike = lengths == lengths[model]
+    alike[alike] = same_spans(data, words.starts[alike], data, words.starts[model[alike]], lengths[alike])
+    if not alike.all():
+        names: dict[bytes, int] = {}
+        spans = zip(words.starts.tolist(), words.ends.tolist())
+        number = np.array([names.setdefault(data[a:b].tobytes(), len(names)) for a, b in spans], dtype=np.int64)
+    return number
 
 
 def hash_word(word: bytes) -> int:
@@ -171,5 +208,24 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
+def joined(texts: Texts, words: Words, keep: np.ndarray) -> pa.Array:
+    """Per text the words to keep, unchanged, with single blanks between them."""
+    sums = np.concatenate([[0], np.cumsum(keep)])
+    kept = sums[words.begins[1:]] - sums[words.begins[:-1]]
+    lengths = (words.ends - words.starts)[keep] + 1
+    out = np.append(texts.data, np.uint8(0x20))[ragged(words.starts[keep], lengths)]
+    ends = np.cumsum(lengths)
+    out[ends - 1] = 0x20
+    # Each word ends in a blank; the last blank of a text goes.
+    reach = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(kept)])]
+    hold = np.ones(len(out), dtype=bool)
+    hold[reach[1:][kept > 0] - 1] = False
+    offsets = reach - np.concatenate([[0], np.cumsum(kept > 0)])
+    strings = pa.LargeStringArray.from_buffers(
+        len(kept), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out[hold].tobytes())
+    )
+    return strings.cast(pa.string())
+
+
 def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

@@ -63,3 +63,11 @@ class Sets:
     def link(self, x, y):
         x, y = self.root(x), self.root(y)
         self.up[max(x, y)] = min(x, y)
+
+
+def mirror_words(n: int) -> tuple[str, str]:
+    """Two different words of n letters, a power of two, that every polynomial hash modulo a power of two confuses."""
+    a, b = "a", "b"
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a, b
