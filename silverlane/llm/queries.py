@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlane.llm import langid
-from silverlane.llm.common import read_table, word_count
+from silverlane.llm.common import WORD_PATTERN, read_table, word_count
 from silverlane.llm.decontamination import contaminated
 from silverlane.llm.embeddings import near_vectors
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
+from silverlane.llm.runs import find_runs
 from silverlane.llm.setjoin import jaccard_groups
 from silverlane.llm.sharding import interleave
 from silverlane.llm.substrings import remove_repeats
@@ -165,3 +166,33 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_jaccard")
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read_table(spark, sf_dir, "documents"), "doc_id", "text", 3, 90, 100)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which the words of one document in ten repeat from some word on; others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    chosen = docs.select("doc_id", "text", g.alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD_PATTERN})"), 1)).alias("words"))
+    n = F.size("words")
+    chosen = chosen.select("doc_id", "text", "words", "g", F.when(n > 0, (F.col("g") % F.greatest(n, F.lit(1))).cast("int")).alias("a"))
+    rest = n - F.col("a")
+    period = (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, period), F.ceil(rest / period).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest))
+    return chosen.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(planted, " ")).alias("text"))
+
+
+@query("op11_runs")
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_planted_runs(read_table(spark, sf_dir, "documents")), "doc_id", "text")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumns({"longest": longest, "lines": lines}).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("lines", lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
