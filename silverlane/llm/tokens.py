@@ -1,14 +1,17 @@
 """Token ids of whole texts by a byte-level tokenizer of the tokenizers library.
 
 The tokenizer splits a text before it merges bytes, and it always splits before a single blank that an ordinary
-character follows. So texts are cut there, each distinct cut is encoded by the library once per task, and the ids of a
-text are those of its cuts in order. Texts with a special token's string, and tokenizers of another kind, are encoded
-whole.
+character follows. So texts are cut there, each distinct cut is encoded by the library once per worker while it is in use, and the ids of a
+text are those of its cuts in order. A cut found by its hash is compared byte by byte with the one kept; cuts over
+``KEPT_BYTES`` are not kept. Texts with a special token's string, and tokenizers of another kind, are encoded whole. The
+library runs in the task's own thread.
 """
 
 from __future__ import annotations
 
 import json
+import os
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,8 @@ from tokenizers import Tokenizer
 
 from silverlane.llm import words as W
 
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 1 << 20
+KEPT_BYTES = 64
 _JOIN_BYTES = 1 << 15
 
 # Bytes that may follow a blank at a cut: ASCII but white space and controls, and the first byte of Latin letters.
@@ -25,6 +29,7 @@ _ORDINARY = W._table([*range(0x21, 0x7F), *range(0xC3, 0xC7)])
 
 class Encoder:
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         form = json.loads(self.tokenizer.to_str())
         splitter = form.get("pre_tokenizer") or {}
@@ -48,9 +53,24 @@ class Encoder:
         self.room = max(CACHE_ENTRIES, 1 << max(wanted - 1, 1).bit_length())
         self.slots = np.zeros(2 * self.room, dtype=np.uint64)  # hashes, each at its place or the next free one
         self.numbers = np.zeros(2 * self.room, dtype=np.int32)
-        self.starts = np.zeros(self.room, dtype=np.int64)
-        self.lengths = np.zeros(self.room, dtype=np.int64)
+        self.hashes = np.zeros(self.room, dtype=np.uint64)
+        self.starts, self.lengths, self.spans, self.uses = (np.zeros(self.room, dtype=np.int32) for _ in range(4))
+        self.widths = np.zeros(self.room, dtype=np.uint8)
         self.pool, self.entries, self.used = np.zeros(1 << 16, dtype=self.dtype), 0, 0
+        self.text, self.text_used = np.zeros(1 << 16, dtype=np.uint8), 0
+
+    def _make_room(self, wanted: int) -> None:
+        """Forget all but the entries used more than once, of which at most half of the room stays, most used first."""
+        often = np.flatnonzero((self.uses[: self.entries] > 1) & (self.hashes[: self.entries] > 0))
+        if len(often) > (most := max(0, min(CACHE_ENTRIES // 2, CACHE_ENTRIES - wanted))):
+            often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[:most]])
+        hashes, lengths, widths, uses = self.hashes[often], self.lengths[often], self.widths[often].astype(np.int64), self.uses[often]
+        ids = self.pool[W.ragged(self.starts[often], lengths.astype(np.int64))]
+        text, spans = self.text, self.spans[often]
+        self._clear(wanted)
+        added = self._add(ids, lengths)
+        self._keep(added, hashes, text, spans, widths)
+        self.uses[added] = uses // 2
 
     def _look_up(self, hashes: np.ndarray) -> np.ndarray:
         """Cache entry of each hash, -1 without one."""
@@ -67,25 +87,67 @@ class Encoder:
             rest = rest[~hit & (seen != 0)]
         return out
 
-    def _keep(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
-        """Add distinct hashes with their ids, one after the other in ``ids``."""
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Entries for ids that follow each other."""
         first, end = self.entries, self.used + len(ids)
         if end > len(self.pool):
             self.pool = np.append(self.pool, np.zeros(max(end, len(self.pool)), dtype=self.dtype))
         self.pool[self.used : end] = ids
-        numbers = np.arange(first, first + len(hashes))
-        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[numbers] = lengths
-        self.entries, self.used = first + len(hashes), end
+        entries = np.arange(first, first + len(lengths))
+        self.starts[entries] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[entries] = lengths
+        self.entries, self.used = first + len(lengths), end
+        return entries
+
+    def _keep(self, entries: np.ndarray, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> None:
+        """Let entries be found by the hashes, distinct and new, of their spans of ``data``."""
+        end = self.text_used + int(widths.sum())
+        if end > len(self.text):
+            self.text = np.append(self.text, np.zeros(max(end, len(self.text)), dtype=np.uint8))
+        self.text[self.text_used : end] = data[W.ragged(starts, widths)]
+        self.hashes[entries] = hashes
+        self.spans[entries] = self.text_used + np.cumsum(widths) - widths
+        self.widths[entries] = widths
+        self.text_used = end
         at, rest = (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64), np.arange(len(hashes))
         while len(rest):
             free = self.slots[at[rest]] == 0
             self.slots[at[rest[free]]] = hashes[rest[free]]
             placed = free & (self.slots[at[rest]] == hashes[rest])
-            self.numbers[at[rest[placed]]] = numbers[rest[placed]]
+            self.numbers[at[rest[placed]]] = entries[rest[placed]]
             rest = rest[~placed]
             at[rest] = (at[rest] + 1) & (len(self.slots) - 1)
 
+    def _entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Entry of each span, encoded now if it is not there."""
+        widths = ends - starts
+        hashes = np.maximum(W.span_hashes(data, starts, ends), np.uint64(1))  # 0 stands for a free slot
+        short = widths <= KEPT_BYTES
+        known = np.where(short, self._look_up(hashes), -1)
+        hit = np.flatnonzero(known >= 0)
+        same = self.widths[known[hit]] == widths[hit]
+        same[same] = W.same_spans(data, starts[hit[same]], self.text, self.spans[known[hit[same]]], widths[hit[same]])
+        alone = ~short
+        alone[hit[~same]] = True  # another span has this hash
+        rest = np.flatnonzero((known < 0) & ~alone)
+        new, first, number = np.unique(hashes[rest], return_index=True, return_inverse=True)
+        model = rest[first[number]]
+        same = widths[rest] == widths[model]
+        same[same] = W.same_spans(data, starts[rest[same]], data, starts[model[same]], widths[rest[same]])
+        alone[rest[~same]] = True
+        single, kept = np.flatnonzero(alone), rest[first]
+        asked = np.concatenate([kept, single])
+        if self.entries + len(asked) > self.room:
+            self._make_room(len(starts))
+            return self._entries(data, starts, ends)
+        if len(asked):
+            added = self._add(*self._encode_spans(data.tobytes(), starts[asked].tolist(), ends[asked].tolist()))
+            self._keep(added[: len(kept)], new, data, starts[kept], widths[kept])
+            known[rest] = added[number]
+            known[single] = added[len(kept) :]
+        self.uses += np.bincount(known, minlength=len(self.uses)).astype(np.int32)
+        return known
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -99,17 +161,7 @@ class Encoder:
             parts = [p for ids in each for p in (ids, *tail)]
             return np.concatenate(parts), np.array([len(ids) + len(tail) for ids in each])
         starts, ends, first = self._cut(texts)
-        hashes = np.maximum(W.span_hashes(texts.data, starts, ends), np.uint64(1))  # 0 stands for a free slot
-        known = self._look_up(hashes)
-        new, where = np.unique(hashes[known < 0], return_index=True)
-        if self.entries + len(new) > self.room:
-            self._clear(len(hashes))
-            new, where = np.unique(hashes, return_index=True)
-            known[:] = -1
-        if len(new):
-            spans = np.flatnonzero(known < 0)[where]
-            self._keep(new, *self._encode_spans(data, starts[spans].tolist(), ends[spans].tolist()))
-            known = self._look_up(hashes)
+        known = self._entries(texts.data, starts, ends)
         cut_starts, cut_lengths = self.starts[known], self.lengths[known]
         sums = np.concatenate([[0], np.cumsum(cut_lengths)])
         per_text = sums[first[1:]] - sums[first[:-1]]
@@ -175,6 +227,12 @@ class Encoder:
         return flat[W.ragged(begins, lengths)], lengths
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, with what it has encoded so far: some 100 MB at most."""
+    return Encoder(path)
+
+
 def encode_texts(tokenizer: Encoder, texts: list[str | None], end: int | None = None) -> list[list[int]]:
     """Ids of each text, for small inputs."""
     out = []

@@ -7,8 +7,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from silverlane.llm import tokens, wavelet
-from silverlane.llm.tokenfiles import read_token_files, write_token_files
-from tests.llm.helpers import documents, empty, odd_texts
+from silverlane.llm import words as W
+from silverlane.llm.tokenfiles import find_token, read_token_files, write_token_files
+from tests.llm.helpers import documents, empty, mirror_words, odd_texts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -100,3 +101,46 @@ def test_no_rows_no_keys_and_repeated_rows(spark):
     rows = read_token_files(write_token_files(both, "doc_id", "text", PATH), "doc_id").collect()
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in rows) == [(-1, 2), (-1, 3), (0, 3), (0, 3), (1, 2), (1, 2)]
     assert sorted(r.start for r in rows) == [0, *np.cumsum([r.n_tokens for r in sorted(rows, key=lambda r: r.start)])[:-1]]
+
+
+@pytest.mark.parametrize("bits", [0, 4, 12])
+def test_ids_hold_when_hashes_do_not(library, monkeypatch, bits):
+    plain = W.span_hashes
+    monkeypatch.setattr(W, "span_hashes", lambda *a: plain(*a) & np.uint64((1 << bits) - 1))
+    texts = [t for t in random_texts(600) if "<|endoftext|>" not in t]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    encoder = tokens.Encoder(PATH)
+    assert [tokens.encode_texts(encoder, texts[i : i + 200]) for i in (0, 200, 400)] == [want[:200], want[200:400], want[400:]]
+
+
+def test_words_that_polynomials_confuse(spark, library):
+    texts = [f"{a} {w}" for n in (32, 64, 1024, 2048, 4096) for w in mirror_words(n) for a in ("x", "y")]
+    rows = read_token_files(write_token_files(documents(spark, texts), "doc_id", "text", PATH), "doc_id").collect()
+    for r in rows:
+        ids = np.array([*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 0], dtype="<u4")
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_find_token(spark, library):
+    texts = odd_texts() + random_texts(300)
+    files = write_token_files(documents(spark, texts, partitions=5), "doc_id", "text", PATH, 0, shard_ids=9000)
+    ids = [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    starts = np.cumsum([0, *map(len, ids)])
+    for token in (0, ids[3][0], ids[-1][0], 50_000_000, 41_234):
+        want = [(i, k, int(starts[i]) + k) for i, row in enumerate(ids) for k, x in enumerate(row) if x == token]
+        assert sorted(map(tuple, find_token(files, token, "doc_id").collect())) == want
+
+
+def test_parts_follow_each_other_with_a_hot_key_and_many_nulls(spark):
+    rng = random.Random(8)
+    rows = [(None, f"n{i}") for i in range(300)] + [(70, f"h{i}") for i in range(300)]
+    rows += [(rng.randrange(-100, 200), f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = write_token_files(df, "doc_id", "text", PATH, 0, shard_ids=100, part_bytes=100)
+    assert files.select("part").distinct().count() > 10
+    hot = files.filter("n_texts > 150").count()
+    assert hot == 0
+    got = read_token_files(files, "doc_id").orderBy("start").collect()
+    keys = [-(1 << 62) if r.doc_id is None else r.doc_id for r in got]
+    assert keys == sorted(keys) and sorted(keys) == sorted(-(1 << 62) if k is None else k for k, _ in rows)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1]]
