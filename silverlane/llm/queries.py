@@ -13,6 +13,7 @@ from silverlane.llm.decontamination import contaminated
 from silverlane.llm.embeddings import near_vectors
 from silverlane.llm.licenses import labels_of, scan_licenses
 from silverlane.llm.mixing import mix_sources
+from silverlane.llm.rules import count_rules, judge
 from silverlane.llm.runs import find_runs
 from silverlane.llm.setjoin import jaccard_groups
 from silverlane.llm.sharding import interleave
@@ -196,3 +197,12 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("lines", lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_rules(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    judged = judge(counted, read_table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
