@@ -20,6 +20,7 @@ from silverlane.llm.sharding import interleave
 from silverlane.llm.substrings import remove_repeats
 from silverlane.llm.tokenfiles import read_token_files, write_token_files
 from silverlane.llm.toxicity import score_toxicity
+from silverlane.llm.trie import trie, turn_rows, with_shared_starts
 
 SHARDS = 40
 TOKENIZER = "byte_bpe_50k.json"
@@ -206,3 +207,50 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
     )
+
+
+TRIE_SQL = """
+WITH ordered AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS at
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT c, n, xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN split(c::VARCHAR, '')]),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295) % 9 AS h
+  FROM (SELECT c, count(*) AS n FROM ordered GROUP BY c)
+), convs AS (
+  SELECT a.c, a.h, a.c - a.c % 5 AS base, least(a.h, coalesce(b.n, 0)) AS taken FROM crc a LEFT JOIN crc b ON b.c = a.c - a.c % 5
+), rebuilt AS (
+  SELECT v.c, o.at + 1 AS d, role, text FROM convs v JOIN ordered o ON o.c = v.base AND o.at < v.taken
+  UNION ALL SELECT v.c, v.taken + o.at - v.h + 1, role, text FROM convs v JOIN ordered o ON o.c = v.c AND o.at >= v.h
+  UNION ALL SELECT c, 0, '', '' FROM convs
+), rows AS (
+  SELECT c, d, CASE WHEN d = 0 THEN 0 ELSE strlen(text) END AS size,
+    sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k,
+    d = max(d) OVER (PARTITION BY c) AS ends
+  FROM rebuilt
+), nodes AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM rows GROUP BY d, k
+), up AS (
+  SELECT n.d, n.k, p.conv_id AS parent_conv_id, p.d AS parent_d, p.k AS parent_k
+  FROM nodes n JOIN rows r ON r.c = n.conv_id AND r.d = n.d - 1 JOIN nodes p ON p.d = r.d AND p.k = r.k
+), children AS (
+  SELECT parent_d AS d, parent_k AS k, count(*) AS n_children FROM up GROUP BY ALL
+), whole AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (d, k)
+), subtree AS (
+  SELECT r.d, r.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM whole n JOIN rows r ON r.c = n.conv_id AND r.d <= n.d GROUP BY r.d, r.k
+)
+SELECT conv_id, n.d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM whole n JOIN subtree USING (d, k) LEFT JOIN up USING (d, k)
+"""
+
+
+@query("op13_trie", TRIE_SQL)
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_rows(read_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return trie(with_shared_starts(turns, fold("conv", 9), 5))
