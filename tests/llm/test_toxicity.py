@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from silverlane.llm.toxicity import LabelModel, _copies_once, mine_words, score_toxicity
@@ -86,3 +87,52 @@ def test_mining_counts_unrelated_texts_that_share_words(spark):
     assert _copies_once(df).groupBy("toxic").count().orderBy("toxic").collect() == [(False, 200), (True, 30)]
     copies = df.unionAll(df).unionAll(df.selectExpr("text || ' e7'", "words", "toxic"))
     assert _copies_once(copies).count() == 230
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_label_model_without_labels(seed):
+    """Independent voters of unlike accuracy, some of them copied, and nothing known but the share of toxic rows."""
+    rng = np.random.default_rng(seed)
+    truth = rng.random(4000) < 0.2
+    open_rows = np.stack([np.ones(4000), np.zeros(4000), np.zeros(4000)], axis=1)
+
+    def voter(accuracy, coverage=1.0):
+        vote = np.where(rng.random(4000) < accuracy, np.where(truth, 1, -1), np.where(truth, -1, 1))
+        return np.where(rng.random(4000) < coverage, vote, 0)
+
+    def right(votes):
+        return ((LabelModel(votes, open_rows, 0.2).posterior(votes) >= 0.5) == truth).mean()
+
+    weak = voter(0.62)
+    nearly = np.where(rng.random(4000) < 0.02, -weak, weak)
+    votes = np.stack([voter(0.9), voter(0.85, 0.8), voter(0.8), weak, weak, nearly, weak], axis=1)
+    assert right(votes) > 0.93 and ((votes.sum(1) > 0) == truth).mean() < 0.7
+    assert LabelModel(votes, open_rows, 0.2).weights[3:].max() < 0.3
+    votes = np.stack([voter(a) for a in (0.7, 0.75, 0.7, 0.8, 0.65)], axis=1)
+    assert right(votes) > ((votes.sum(1) > 0) == truth).mean() + 0.02
+
+
+def test_labels_show_what_votes_do_not():
+    """Labelled rows mend a model whose voters are mostly wrong."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(3000) < 0.3
+    votes = np.stack([np.where(rng.random(3000) < a, np.where(truth, 1, -1), np.where(truth, -1, 1)) for a in (0.1, 0.3, 0.85)], axis=1)
+    known = rng.random(3000) < 0.1
+    counts = np.stack([~known, known & ~truth, known & truth], axis=1).astype(float)
+    assert ((LabelModel(votes, counts, 0.3).posterior(votes) >= 0.5) == truth).mean() > 0.9
+
+
+def test_scores_without_labels_or_rows_to_learn_from(spark):
+    rng = random.Random(1)
+    texts = [prose(rng, 20, 3000) + (" moron" if i % 8 == 0 else "") for i in range(80)]
+    df, labels = documents(spark, texts), spark.createDataFrame([(1, 1), (8, 0)], "doc_id long, toxic int")
+    got = scores(df, labels, "false")
+    assert all((got[i] >= 0.5) == (i % 8 == 0) for i in got)
+    assert got == scores(df, labels.filter("false"), "false")
+
+
+def test_many_rows_without_a_key(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(None, prose(rng, 30, 3000) + (" scum" if i % 9 == 0 else "")) for i in range(300)], "doc_id long, text string")
+    rows = score_toxicity(df, spark.createDataFrame([], "doc_id long, toxic int"), "doc_id", "text", "toxic", F.lit(True)).collect()
+    assert len(rows) == 300 and sum(r.score >= 0.5 for r in rows) == 34
