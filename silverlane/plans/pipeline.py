@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlane.functions.rules import Rule, with_errors
@@ -24,6 +25,7 @@ from silverlane.sources.ingest import Source, ingest_sources
 from silverlane.sources.readers import scan_layer
 from silverlane.sources.writers import write_gold, write_layer, write_log, write_quarantine
 
+LOG = logging.getLogger(__name__)
 STORED_ONLY = ("_run_id", "year", "month")
 TRANSFORM_SCHEMA = (
     "source_name string, original_rows bigint, final_rows bigint, quarantined_rows bigint, "
@@ -119,8 +121,9 @@ def transform_source(
     if plan.fail_on_error and not passed:
         raise ValueError(f"Data quality validation failed: {name}")
     quarantined = 0
-    if not passed and plan.fields:
-        checked = schema_errors(cleaned, plan.fields)
+    if not passed and (plan.fields or plan.rules):
+        # Fields declared for the source decide which rows go; without any, its business rules do.
+        checked = schema_errors(cleaned, plan.fields) if plan.fields else with_errors(cleaned, plan.rules, at)
         quarantined = write_quarantine(quarantine_rows(checked), layout.quarantine, name, at, run_id)["rows"]
     silver_path, _ = write_layer(enrich(cleaned.drop("_copies"), name, at), layout.silver, name, at, run_id)
     tables = gold_tables(scan_layer(spark, silver_path, run_id), at)
@@ -157,7 +160,7 @@ def bronze_quality(
     """Scorecard of every landed source; stored row hashes stand for whole rows.
 
     Raw rows are held against the schema of the run before, or of this run when there is none. Cards are evaluated
-    once. A source whose check breaks off fails overall with score 0 and no row count.
+    once. A source whose check breaks off fails overall with score 0 and no row count; why is logged as a warning.
     """
     cards = []
     for name in names:
@@ -167,11 +170,16 @@ def bronze_quality(
             fields = stored_fields(spark, layout, name, run_id)
             card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
             cards += [(name, *row) for row in card.select("total_rows", "check", "score", "passed").collect()]
-        except Exception:  # noqa: BLE001 - a broken check of one source must not stop the rest
+        except Exception as problem:  # noqa: BLE001 - a broken check of one source must not stop the rest
+            LOG.warning("quality check of %s broke off: %s", name, str(problem).split("\n")[0])
             cards.append((name, None, "overall", 0.0, False))
     return spark.createDataFrame(cards, CARD_SCHEMA)
 
 
+def _stage_status(status: Column) -> Column:
+    return F.when(status == "success", "completed").otherwise("failed")
+
+
 def run_full_pipeline(
     spark: SparkSession, layout: Layout, sources: list[Source], run_id: str, at: datetime,
     plans: dict[str, QualityPlan] | None = None,
@@ -187,7 +195,7 @@ def run_full_pipeline(
     landed = [row["source_name"] for row in ingested.filter("status = 'success' AND rows_ingested > 0").collect()]
     stages = ingested.select(
         F.lit(run_id).alias("run_id"), F.lit("ingestion").alias("stage"), "source_name",
-        F.lit("completed" if landed else "failed").alias("status"), F.col("rows_ingested").alias("rows"),
+        _stage_status(F.col("status")).alias("status"), F.col("rows_ingested").alias("rows"),
         F.lit(None).cast("boolean").alias("passed"),
     )
     out = {"ingestion": ingested}
@@ -196,14 +204,18 @@ def run_full_pipeline(
         quality = bronze_quality(spark, layout, landed, run_id, at, plans)
         stages = stages.unionByName(transformed.select(
             F.lit(run_id).alias("run_id"), F.lit("transformation").alias("stage"), "source_name",
-            F.lit("completed").alias("status"), F.col("original_rows").alias("rows"),
+            _stage_status(F.col("status")).alias("status"), F.col("original_rows").alias("rows"),
             F.lit(None).cast("boolean").alias("passed"),
         )).unionByName(quality.filter(F.col("check") == "overall").select(
             F.lit(run_id).alias("run_id"), F.lit("data_quality").alias("stage"), "source_name",
-            F.lit("completed").alias("status"), F.col("total_rows").alias("rows"), "passed",
+            # A check that broke off has no row count.
+            F.when(F.col("total_rows").isNull(), "failed").otherwise("completed").alias("status"),
+            F.col("total_rows").alias("rows"), "passed",
         ))
         out |= {"transformation": transformed, "data_quality": quality}
-    record = stage_totals(stages).withColumns({
+    # The run looks at whole stages: a source that fails is recorded and the others go on.
+    whole = F.when(F.col("stage") == "ingestion", F.lit("completed" if landed else "failed")).otherwise("completed")
+    record = stage_totals(stages.withColumn("status", whole)).withColumns({
         "pipeline_name": F.lit("full-pipeline"), "timestamp": F.lit(at).cast("timestamp_ntz"),
     })
     write_log(record, layout.runs, run_id)

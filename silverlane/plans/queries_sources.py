@@ -81,6 +81,27 @@ def scan_object_store(spark, sf_dir):
     return readers.scan_object_store(spark, f"{root}/raw", "parquet", glob="*.parquet")
 
 
+@query("scan_object_store_csv", with_views(["txn"], f"""
+    SELECT {_TXN_COLUMNS.replace('description', _QUOTED + ' AS description')}, 'row' AS kind FROM txn
+    UNION ALL SELECT NULL, NULL, NULL, NULL, 'lost,' || o_orderkey || ',,none,,', NULL, 'missing_or_unreadable_field'
+    FROM orders WHERE o_orderkey % 11 = 0"""))
+def scan_object_store_csv(spark, sf_dir):
+    """CSV under two folders of a store, with quotes, line breaks in quotes and lines that do not fit."""
+    root = work_path(spark, "store")
+    rows = _txn(spark, sf_dir).withColumn("description", F.expr(_QUOTED))
+    for kind in ("CREDIT", "DEBIT"):
+        writers.export_csv(rows.filter(F.col("transaction_type") == kind), f"{root}/raw/{kind.lower()}/day")
+    fields = {"account_id": "'lost'", "transaction_id": "o_orderkey", "amount": "'none'"}
+    faulty = table(spark, sf_dir, "orders").filter("o_orderkey % 11 = 0").selectExpr(
+        *[f"CAST({fields.get(name, 'NULL')} AS STRING) AS {name}" for name in _TXN])
+    writers.export_csv(faulty, f"{root}/raw/other")
+    scanned = readers.scan_object_store(
+        spark, f"{root}/raw", "csv", _TXN_TYPES, glob="*.csv", multi_line=True, keep_rejected=True)
+    good, bad = readers.split_rejected(scanned)
+    return good.withColumn("kind", F.lit("row")).unionByName(
+        bad.select(F.col("record").alias("description"), F.col("reason").alias("kind")), allowMissingColumns=True)
+
+
 @query("scan_bronze", with_views(["txn"], f"SELECT {_TXN_COLUMNS}, 2024 AS year, 2 AS month FROM txn"))
 def scan_bronze(spark, sf_dir):
     base = work_path(spark, "bronze")
@@ -124,6 +145,32 @@ def add_ingest_metadata_query(spark, sf_dir):
         F.count_distinct("_row_seq").alias("distinct_positions"))
 
 
+# Both engines read this: files of very unlike sizes.
+_FILE = """CASE WHEN o_orderkey % 16 < 8 THEN 'b' WHEN o_orderkey % 16 < 12 THEN 'c' WHEN o_orderkey % 16 < 14 THEN 'a'
+    WHEN o_orderkey % 16 < 15 THEN 'e' ELSE 'd' END"""
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+@query("source_order", f"""
+    SELECT o_orderkey, file, row_number() OVER (ORDER BY file, o_totalprice, o_orderkey) - 1 AS row_seq
+    FROM (SELECT *, {_FILE} AS file FROM orders)""")
+def source_order(spark, sf_dir):
+    """CSV files of unlike sizes, the larger ones in several splits: rows are numbered by file name and place."""
+    root = work_path(spark, "ordered")
+    rows = table(spark, sf_dir, "orders").withColumn("file", F.expr(_FILE))
+    rows.repartition("file").sortWithinPartitions("file", "o_totalprice", "o_orderkey").select(
+        "o_orderkey", "o_totalprice", F.col("file").alias("name"), "file").write.partitionBy("file").csv(f"{root}/in", header=True)
+    before = spark.conf.get(SPLIT_BYTES)
+    try:
+        spark.conf.set(SPLIT_BYTES, str(64 << 10))
+        source = Source("orders", "csv", f"{root}/in/*/*.csv", "o_orderkey bigint, o_totalprice double, name string")
+        path = ingest_sources(spark, [source], f"{root}/bronze", INGESTED_AT, RUN).first()["output_path"]
+    finally:
+        spark.conf.set(SPLIT_BYTES, before)
+    return readers.scan_layer(spark, path, RUN).select(
+        "o_orderkey", F.col("name").alias("file"), F.col("_row_seq").alias("row_seq"))
+
+
 @query("write_bronze", with_views(["txn"], """
     SELECT transaction_id, amount, 'run-1' AS run_id, 2024 AS year, 2 AS month, true AS has_hash FROM txn"""))
 def write_bronze(spark, sf_dir):
@@ -213,16 +260,18 @@ def export_report_json(spark, sf_dir):
 
 
 @query("file_fingerprint", """
-    SELECT c_custkey, length(c_name) + 1 AS length, sha256(c_name || chr(10)) AS file_hash
-    FROM customer WHERE c_nationkey = 7""")
+    SELECT c_nationkey, CAST(sum(strlen(coalesce(c_name, '')) + 1) AS BIGINT) AS length,
+        sha256(string_agg(coalesce(c_name, '') || chr(10), '' ORDER BY c_custkey)) AS file_hash
+    FROM customer GROUP BY 1""")
 def file_fingerprint(spark, sf_dir):
-    """One text file per customer of a nation, hashed as files."""
+    """Every customer in text files, one per nation, hashed as files."""
     path = work_path(spark, "files")
-    names = table(spark, sf_dir, "customer").filter("c_nationkey = 7").select("c_custkey", "c_name")
-    names.repartition("c_custkey").write.partitionBy("c_custkey").text(path)
+    names = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name")
+    dealt = names.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    dealt.drop("c_custkey").write.partitionBy("c_nationkey").text(path)
     prints = readers.file_fingerprints(spark, path)
     return prints.select(
-        F.regexp_extract("path", "c_custkey=([0-9]+)", 1).cast("long").alias("c_custkey"), "length", "file_hash")
+        F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int").alias("c_nationkey"), "length", "file_hash")
 
 
 FILE_KEYS = 100_000

@@ -6,7 +6,8 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from silverlane.operators.schema import schema_profile
 from silverlane.sources.readers import CORRUPT, scan_csv, scan_json, scan_layer, scan_object_store, split_rejected
 from silverlane.sources.writers import write_layer, write_log
 
+MAX_BROADCAST_FILES = 100_000
 RESULT_SCHEMA = (
     "source_name string, source_type string, rows_ingested bigint, rows_rejected bigint, output_path string, status string, error string"
 )
@@ -39,30 +41,68 @@ class Source:
         return Source(config["name"], config["type"], config["path"], **known)
 
 
-def add_ingest_metadata(df: DataFrame, ingested_at: datetime, source_file: str | None = None) -> DataFrame:
+def in_source_order(df: DataFrame, columns: list[Column], same_rows: DataFrame | None = None) -> DataFrame:
+    """``columns``, and under ``_row_seq`` the number of each row: files by path, rows as they stand in their file.
+
+    Spark packs splits of files into tasks by size, so the place in a task says nothing about the order of files. Rows
+    are counted per split (one more pass, over one column where that is enough), the counts added up over the
+    splits in order, and each row gets the sum before its split and its place in the split. Frames that do not come
+    straight from several files are numbered by task and place. ``same_rows`` is counted in place of an observed ``df``,
+    whose observation would else be taken from both passes.
+    """
+    place = F.monotonically_increasing_id()
+    files = df.inputFiles()
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        files = []
+    if len(files) < 2:
+        return df.select(*columns, place.alias(ROW_SEQ))
+    split = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), place.alias("_place")]
+    # Which lines do not fit shows only when all fields are read; otherwise one will do.
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    plain = plain if same_rows is not None else plain[:1]
+    counted = (df if same_rows is None else same_rows).select(*split, F.hash(*plain).alias("_seen") if plain else F.lit(0).alias("_seen"))
+    splits = counted.groupBy("_path", "_block").agg(
+        F.count_if(F.col("_seen") >= F.lit(-(1 << 31))).alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    splits = splits.select(
+        F.col("_path").alias("_in"), F.col("_block").alias("_at"), "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    names = [c for c in df.select(*columns).columns]
+    joined = df.select(*columns, *split).join(
+        F.broadcast(splits) if len(files) <= MAX_BROADCAST_FILES else splits,
+        (F.col("_path") == F.col("_in")) & (F.col("_block") == F.col("_at")))
+    return joined.select(*[f"`{c}`" for c in names], (F.col("_before") + F.col("_place") - F.col("_first")).alias(ROW_SEQ))
+
+
+def add_ingest_metadata(
+    df: DataFrame, ingested_at: datetime, source_file: str | None = None, same_rows: DataFrame | None = None
+) -> DataFrame:
     """Add time, source file, row hash and row order.
 
     The hash covers business columns only, so the same row always gets the same
-    hash. Row order is the scan order, which a stored layer keeps.
+    hash. Row order is that of ``in_source_order``, which a stored layer keeps.
     """
     names = business_columns(df)
     origin = F.lit(source_file) if source_file else F.col("_metadata.file_path")
-    return df.select(
-        *names,
+    return in_source_order(df, [
+        *[F.col(f"`{name}`") for name in names],
         F.lit(ingested_at).cast("timestamp_ntz").alias("_ingestion_timestamp"),
         origin.alias("_source_file"),
         F.sha2(F.to_json(F.struct(*names)), 256).alias("_record_hash"),
-        F.monotonically_increasing_id().alias(ROW_SEQ),
-    )
+    ], same_rows)
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
+    """Rows of a source; those of CSV, from a folder or a store, with the text of lines that do not fit."""
     if source.type == "csv":
         return scan_csv(spark, source.path, source.schema, source.multi_line, keep_rejected=True)
     if source.type == "json":
         return scan_json(spark, source.path, source.schema, source.lines)
     if source.type in ("object_store", "s3"):
-        return scan_object_store(spark, source.path, source.file_format, source.schema, source.glob)
+        return scan_object_store(
+            spark, source.path, source.file_format, source.schema, source.glob, source.multi_line,
+            keep_rejected=True, lines=source.lines)
     raise ValueError(f"Unsupported source type: {source.type}")
 
 
@@ -80,13 +120,13 @@ def ingest_sources(
     results = []
     for source in sources:
         try:
-            scanned, lost = read_source(spark, source), None
+            scanned, lost, same_rows = read_source(spark, source), None, None
             if CORRUPT in scanned.columns:
                 lost = Observation(f"rejected-{source.name}-{run_id}")
                 _, rejected = split_rejected(scanned)
-                counted = scanned.observe(lost, F.count(CORRUPT).alias("rows"))
-                scanned = counted.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-            landed = add_ingest_metadata(scanned, ingested_at)
+                observed = scanned.observe(lost, F.count(CORRUPT).alias("rows"))
+                same_rows, scanned = (d.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) for d in (scanned, observed))
+            landed = add_ingest_metadata(scanned, ingested_at, same_rows=same_rows)
             path, seen = write_layer(landed, bronze, source.name, ingested_at, run_id)
             lost_rows = lost.get["rows"] if lost else 0
             if lost_rows and rejects:

@@ -16,16 +16,17 @@ CORRUPT = "_corrupt_record"
 
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False,
-    keep_rejected: bool = False, header: bool = True,
+    keep_rejected: bool = False, header: bool = True, **options,
 ) -> DataFrame:
     """CSV, with a header unless said otherwise, quoted by ``"`` with ``""`` inside quotes. An empty field is null.
 
     A given schema saves the extra pass that infers one. With ``multi_line`` quoted text may hold line breaks; a file
     is then one task. With ``keep_rejected`` lines that do not fit the schema keep their text in ``_corrupt_record``,
-    which is null for all others; ``split_rejected`` takes the two apart.
+    which is null for all others; ``split_rejected`` takes the two apart. ``options`` are those of Spark's file sources.
     """
     reader = spark.read.options(
-        header=header, encoding="UTF-8", enforceSchema=not header, quote='"', escape='"', multiLine=multi_line
+        header=header, encoding="UTF-8", enforceSchema=not header, quote='"', escape='"', multiLine=multi_line,
+        **options,
     )
     if schema is None:
         schema = reader.option("inferSchema", True).csv(path).schema
@@ -67,14 +68,20 @@ def scan_json(
 
 
 def scan_object_store(
-    spark: SparkSession, uri: str, file_format: str, schema: T.StructType | str | None = None, glob: str | None = None
+    spark: SparkSession, uri: str, file_format: str, schema: T.StructType | str | None = None, glob: str | None = None,
+    multi_line: bool = False, keep_rejected: bool = False, lines: bool = True,
 ) -> DataFrame:
-    """Every matching file under a prefix, whatever the folder depth."""
-    reader = spark.read.format(file_format).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    """Every matching file under a prefix, whatever the folder depth.
+
+    CSV files are read as ``scan_csv`` does, with the same quotes, and with the text of lines that do not fit if
+    ``keep_rejected``; JSON files as objects, one per line unless ``lines`` is false. Other formats know no such lines.
+    """
+    options = {"recursiveFileLookup": True} | ({"pathGlobFilter": glob} if glob else {})
     if file_format == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
+        return scan_csv(spark, uri, schema, multi_line, keep_rejected, **options)
+    reader = spark.read.format(file_format).options(**options)
+    if file_format == "json":
+        reader = reader.option("multiLine", not lines)
     return (reader.schema(schema) if schema is not None else reader).load(uri)
 
 
