@@ -28,6 +28,19 @@ BLOCK_WORDS = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
 
 
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64. Runs with equal hashes are confirmed word by word."""
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            full = np.full(max(n, 1 << 14), np.uint64(base))
+            full[0] = 1
+            _POWERS[name] = np.multiply.accumulate(full)
+    return _POWERS["up"], _POWERS["down"]
+
+
 def _runs(hashes: np.ndarray, free: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places from which ``length`` words are free, and the running hash of those words."""
     n = len(hashes) - length + 1
@@ -35,7 +48,7 @@ def _runs(hashes: np.ndarray, free: np.ndarray, length: int) -> tuple[np.ndarray
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     taken = np.concatenate([[0], np.cumsum(~free)])
     at = np.flatnonzero(taken[length:] == taken[:-length])
-    up, down = W._powers(len(hashes) + 1)
+    up, down = _powers(len(hashes) + 1)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)])
     return at, (sums[at + length] - sums[at]) * down[at]
 

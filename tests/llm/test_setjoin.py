@@ -4,7 +4,7 @@ import pytest
 
 from silverlane.llm.components import components
 from silverlane.llm.setjoin import first_of_groups, jaccard_groups
-from tests.llm.helpers import Sets, documents, empty, odd_texts, prose, words
+from tests.llm.helpers import Sets, documents, empty, mirror_words, odd_texts, prose, words
 
 
 def shingles(text, n):
@@ -74,3 +74,10 @@ def test_components(spark):
                 union.link(a, b)
         df = spark.createDataFrame(links + [(None, 3)], "x long, y long").repartition(5)
         assert {r.node: r.component for r in components(df, "x", "y").collect()} == {x: union.root(x) for x in list(union.up)}
+
+
+def test_words_that_polynomials_confuse(spark):
+    a, b = mirror_words(1024)
+    texts = [f"{a} {a} {a} {a}", f"{b} {b} {b} {b}", f"{a} {a} {a} {a}"]
+    got = {r.doc_id: r.component_id for r in jaccard_groups(documents(spark, texts), "doc_id", "text", 3, 9, 10).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}

@@ -4,7 +4,7 @@ import numpy as np
 
 from silverlane.llm import substrings
 from silverlane.llm.substrings import decode_gaps, encode_gaps, remove_repeats
-from tests.llm.helpers import documents, empty, odd_texts, prose, words
+from tests.llm.helpers import documents, empty, mirror_words, odd_texts, prose, words
 
 
 def plain(texts, n=13):
@@ -55,3 +55,9 @@ def test_no_rows_and_no_keys(spark):
 def test_rows_of_one_key_keep_their_words(spark):
     df = documents(spark, ["b " * 30])
     assert [r.n_removed for r in remove_repeats(df.unionAll(df), "doc_id", "text").collect()] == [0, 0]
+
+
+def test_words_that_polynomials_confuse(spark):
+    a, b = mirror_words(2048)
+    rows = remove_repeats(documents(spark, [" ".join([a] * 13), " ".join([b] * 13), " ".join([a] * 13)]), "doc_id", "text").collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {0: 0, 1: 0, 2: 13}
