@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from silverlane.functions.rules import ERRORS, Rule, with_errors
@@ -18,7 +19,7 @@ from silverlane.plans.queries_rows import SUSPICIOUS_SQL, TRANSACTION_ERRORS_SQL
 from silverlane.plans.registry import query
 from silverlane.plans.views import INGESTED_AT, ORDERS_AS_OF, table, view, with_views
 from silverlane.session import work_path
-from silverlane.sources import readers, writers
+from silverlane.sources import ranges, readers, writers
 from silverlane.sources.ingest import Source, add_ingest_metadata, ingest_sources
 
 _TXN_COLUMNS = "account_id, transaction_id, transaction_date, amount, description, transaction_type"
@@ -47,6 +48,14 @@ def scan_csv(spark, sf_dir):
     return readers.scan_csv(spark, path, _TXN_TYPES, multi_line=True)
 
 
+@query("scan_csv_ranges", with_views(["txn"], f"SELECT {_TXN_COLUMNS.replace('description', _QUOTED + ' AS description')} FROM txn"))
+def scan_csv_ranges(spark, sf_dir):
+    """The same files by ranges of 256 kB, so that several tasks share a file."""
+    path = work_path(spark, "csv")
+    writers.export_csv(_txn(spark, sf_dir).withColumn("description", F.expr(_QUOTED)), path)
+    return ranges.scan_csv_ranges(spark, path, _TXN_TYPES, range_bytes=256 << 10)
+
+
 # Every fifth line has a field too many, every seventh an amount that is none.
 _LINE = """CAST(o_orderkey AS STRING) || ',' || CASE WHEN o_orderkey % 7 = 0 THEN 'none' ELSE '12.5' END ||
     CASE WHEN o_orderkey % 5 = 0 THEN ',extra' ELSE '' END"""
@@ -72,6 +81,25 @@ def scan_json(spark, sf_dir):
     return readers.scan_json(spark, path, lines=True).select(*_ACCT)
 
 
+def _as_document(parts):
+    yield pd.DataFrame({"value": ["["]})
+    comma = ""
+    for part in parts:
+        if len(part):
+            yield pd.DataFrame({"value": comma + part["value"].str.cat(sep="\n,")}, index=[0])
+            comma = ","
+    yield pd.DataFrame({"value": ["]"]})
+
+
+@query("scan_json_document", with_views(["acct"], f"SELECT {_ACCT_COLUMNS} FROM acct"))
+def scan_json_document(spark, sf_dir):
+    """Lists of objects in documents, by ranges of 256 kB, so that several tasks share a document."""
+    path = work_path(spark, "json")
+    accounts = view(spark, sf_dir, "acct").select(*_ACCT)
+    accounts.select(F.to_json(F.struct(*_ACCT)).alias("value")).mapInPandas(_as_document, "value string").write.text(path)
+    return ranges.scan_json_ranges(spark, path, accounts.schema, range_bytes=256 << 10)
+
+
 @query("scan_object_store", with_views(["txn"], f"SELECT {_TXN_COLUMNS} FROM txn"))
 def scan_object_store(spark, sf_dir):
     root = work_path(spark, "store")

@@ -13,7 +13,10 @@ from pyspark.sql import types as T
 
 from silverlane.columns import ROW_SEQ, business_columns
 from silverlane.operators.schema import schema_profile
-from silverlane.sources.readers import CORRUPT, scan_csv, scan_json, scan_layer, scan_object_store, split_rejected
+from silverlane.sources.ranges import has_compressed, scan_csv_ranges, scan_json_ranges
+from silverlane.sources.readers import (
+    CORRUPT, SOURCE_FILE, scan_csv, scan_json, scan_layer, scan_object_store, split_rejected,
+)
 from silverlane.sources.writers import write_layer, write_log
 
 MAX_BROADCAST_FILES = 100_000
@@ -47,9 +50,11 @@ def in_source_order(df: DataFrame, columns: list[Column], same_rows: DataFrame |
     Spark packs splits of files into tasks by size, so the place in a task says nothing about the order of files. Rows
     are counted per split (one more pass, over one column where that is enough), the counts added up over the
     splits in order, and each row gets the sum before its split and its place in the split. Frames that do not come
-    straight from several files are numbered by task and place. ``same_rows`` is counted in place of an observed ``df``,
+    straight from several files are numbered by task and place; a ``_row_seq`` that is there is kept. ``same_rows`` is counted in place of an observed ``df``,
     whose observation would else be taken from both passes.
     """
+    if ROW_SEQ in df.columns:
+        return df.select(*columns, ROW_SEQ)
     place = F.monotonically_increasing_id()
     files = df.inputFiles()
     try:
@@ -84,7 +89,7 @@ def add_ingest_metadata(
     hash. Row order is that of ``in_source_order``, which a stored layer keeps.
     """
     names = business_columns(df)
-    origin = F.lit(source_file) if source_file else F.col("_metadata.file_path")
+    origin = F.lit(source_file) if source_file else F.col(SOURCE_FILE if SOURCE_FILE in df.columns else "_metadata.file_path")
     return in_source_order(df, [
         *[F.col(f"`{name}`") for name in names],
         F.lit(ingested_at).cast("timestamp_ntz").alias("_ingestion_timestamp"),
@@ -94,7 +99,16 @@ def add_ingest_metadata(
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
-    """Rows of a source; those of CSV, from a folder or a store, with the text of lines that do not fit."""
+    """Rows of a source; those of CSV, from a folder or a store, with the text of lines that do not fit.
+
+    CSV with line breaks in quotes and JSON documents are read by byte ranges, unless a file is compressed.
+    """
+    stored_as = source.file_format if source.type in ("object_store", "s3") else source.type
+    if (stored_as == "csv" and source.multi_line) or (stored_as == "json" and not source.lines):
+        if not has_compressed(spark, source.path, source.glob):
+            if stored_as == "csv":
+                return scan_csv_ranges(spark, source.path, source.schema, keep_rejected=True, glob=source.glob, places=True)
+            return scan_json_ranges(spark, source.path, source.schema, glob=source.glob, places=True)
     if source.type == "csv":
         return scan_csv(spark, source.path, source.schema, source.multi_line, keep_rejected=True)
     if source.type == "json":

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlane.columns import ROW_SEQ
+
 CORRUPT = "_corrupt_record"
+SOURCE_FILE = "_source_file"
 
 
 def scan_csv(
@@ -40,7 +43,7 @@ def scan_csv(
 
 def split_rejected(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that fit, and (record, reason) of the lines that do not."""
-    width = len(scanned.columns) - 1
+    width = sum(c not in (CORRUPT, SOURCE_FILE, ROW_SEQ) for c in scanned.columns)
     texts = ", ".join(f"c{i} string" for i in range(width + 1))
     extra = F.from_csv(F.col(CORRUPT), F.lit(texts), {"escape": '"'})[f"c{width}"]
     # Spark reads the text of a bad line only along with a field; the hash of all fields is always above its least value.
