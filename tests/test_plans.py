@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from silverlane.operators import aggregates, cleaning, enrichment, metrics
+from silverlane.operators import aggregates, cleaning, enrichment, metrics, suspicious
 from silverlane.plans.views import table, view
 
 QUERIES = contract.queries()
@@ -66,3 +66,25 @@ def test_no_cross_joins(spark, sf_dir):
     for name in ("amount_percentile", "dq_scorecard", "kpi_snapshot", "enrich_dispatch"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_sliding_windows_sum_panes_not_rows(spark, sf_dir):
+    """Rows reach the first aggregation once; only panes are copied to the windows they lie in."""
+    text = plan(QUERIES["window_fraud_alerts"](spark, sf_dir))
+    below = text[text.index("Expand"):]
+    assert text.count("Expand") == 1 and "partial_sum" in below and "partial_count" in below
+
+
+def test_sliding_windows_equal_a_plain_count(spark):
+    """Rows out of order, on pane borders, without amount, account or time."""
+    rows = [(60 * i % 1000 + i % 3, f"A{i % 4}" if i % 11 else None, None if i % 5 == 0 else 1.25 * i) for i in range(400)]
+    df = spark.createDataFrame(rows, "s int, account_id string, amount double").selectExpr(
+        "CASE WHEN s % 13 > 0 THEN timestamp_seconds(s) END AS timestamp", "account_id", "amount")
+    want = {}
+    for s, account, amount in rows:
+        for start in range(s // 60 * 60 - 240, s // 60 * 60 + 1, 60) if s % 13 else ():
+            n, total = want.get((start, account), (0, None))
+            want[start, account] = (n + 1, total if amount is None else (total or 0) + amount)
+    got = suspicious.window_fraud_alerts(df, max_count=0, max_sum=0).selectExpr(
+        "unix_timestamp(window_start) AS start", "account_id", "transaction_count AS n", "total_amount AS total").collect()
+    assert {(r["start"], r["account_id"]): (r["n"], r["total"]) for r in got} == want and len(got) == len(want)
