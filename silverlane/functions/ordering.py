@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from silverlane.columns import ROW_SEQ
+from silverlane.session import materialize
 
 MIN_EDGES, MAX_EDGES = 16, 32
 SKETCH_ACCURACY = 10_000
 MAX_BRACKET_ROWS = 1_000_000
 MAX_ROUNDS = 6
+RESPLIT_FROM = 2
+VALUES_PER_STEP = 16
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -210,29 +213,96 @@ def _order_values(df: DataFrame, brackets: dict[str, _Bracket]) -> list[tuple[st
     return [(names[row["slot"]], row["low"], row["high"]) for row in picked]
 
 
-def value_ranks(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
-    """Per distinct value: ``n`` rows holding it and ``upto`` rows at or below it."""
+@dataclass
+class RankedValues:
+    """Distinct values of a column with ``n`` rows holding each and ``upto`` rows at or below it."""
+
+    table: DataFrame
+    rows: int
+
+    def quantile(self, fraction: float) -> float | None:
+        """Exact quantile with linear interpolation, read from the ranks; None for no values."""
+        if not self.rows:
+            return None
+        position = (self.rows - 1) * fraction
+        low, high = math.floor(position), math.ceil(position)
+
+        def spans(rank: int) -> Column:
+            return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+
+        value = F.col("value").cast("double")
+        found = self.table.filter(spans(low) | spans(high)).agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+        share = position - low
+        return found["low"] if share == 0 else found["low"] + (found["high"] - found["low"]) * share
+
+
+def _resplit(counted: DataFrame, sizes: list[Row], buckets: int) -> DataFrame:
+    """Cut buckets with over twice their share of the distinct values; ``part`` is the place inside a bucket.
+
+    Outliers stretch an interval until nearly all its values share one linear step. Such a bucket is cut again at
+    quantiles of its own distinct values. There are fewer cuts than twice the buckets, whatever the data.
+    """
+    share = max(1.0, sum(row["values"] for row in sizes) / buckets)
+    # Numbers of parts are powers of two, so a few sketches serve all buckets.
+    wanted = [
+        (row["bucket"], 1 << math.ceil(math.log2(row["values"] / share)))
+        for row in sizes if row["values"] > RESPLIT_FROM * share
+    ]
+    if not wanted:
+        return counted.withColumn("part", F.lit(0))
+    full = counted.sparkSession.createDataFrame(wanted, "bucket bigint, parts int")
+    value = F.col("value").cast("double")
+    cuts = []
+    for parts in sorted({parts for _, parts in wanted}):
+        steps = [i / parts for i in range(1, parts)]
+        sketch = F.percentile_approx(
+            F.when(F.col("parts") == parts, value), steps, max(SKETCH_ACCURACY, VALUES_PER_STEP * parts))
+        cuts.append(sketch)
+    edges = counted.join(F.broadcast(full), "bucket").groupBy("bucket").agg(F.coalesce(*cuts).alias("edges"))
+    steps = [1 << i for i in reversed(range(max(parts for _, parts in wanted).bit_length()))]
+    place = F.aggregate(
+        F.array(*[F.lit(step) for step in steps]), F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= F.size("edges")) & (F.try_element_at("edges", at + step) <= value), at + step).otherwise(at))
+    return counted.join(F.broadcast(edges), "bucket", "left").select(
+        "value", "n", "bucket", F.when(F.col("edges").isNull(), 0).otherwise(place).alias("part"))
+
+
+def ranked_values(df: DataFrame, column: str, buckets: int | None = None) -> RankedValues:
+    """Ranks of a column's distinct values, NaN and null left out.
+
+    ``df`` is read twice: for bucket edges, and to count its values, which are stored. Ranks are stored too.
+    """
     buckets = buckets or default_buckets(df)
     edges = edge_values(df.agg(*edge_measures(column, buckets)).first())
-    counted = (
+    counted = materialize(
         df.filter(_number(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", bucket_of("value", edges, buckets))
-    )
-    in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        .withColumn("bucket", bucket_of("value", edges, buckets)), "values")
+    sizes = counted.groupBy("bucket").agg(  # at most buckets + MAX_EDGES rows
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
+    placed = _resplit(counted, sizes, buckets)
+    in_order = Window.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        counted.groupBy("bucket")
+        placed.groupBy("bucket", "part")
         .agg(F.sum("n").alias("bucket_rows"))
-        # one row per bucket, at most buckets + MAX_EDGES rows
-        .select("bucket", F.coalesce(F.sum("bucket_rows").over(in_order), F.lit(0)).alias("before"))
+        # one row per part, fewer than 4 x buckets + MAX_EDGES rows
+        .select("bucket", "part", F.coalesce(F.sum("bucket_rows").over(in_order), F.lit(0)).alias("before"))
     )
-    running = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        counted.withColumn("in_bucket", F.sum("n").over(running))
-        .join(F.broadcast(offsets), "bucket")
+    running = Window.partitionBy("bucket", "part").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranks = (
+        placed.withColumn("in_bucket", F.sum("n").over(running))
+        .join(F.broadcast(offsets), ["bucket", "part"])
         .select("value", "n", (F.col("before") + F.col("in_bucket")).alias("upto"))
     )
+    return RankedValues(materialize(ranks, "ranks"), sum(row["rows"] for row in sizes))
+
+
+def value_ranks(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
+    """Per distinct value: ``n`` rows holding it and ``upto`` rows at or below it."""
+    return ranked_values(df, column, buckets).table
 
 
 def carry_forward(df: DataFrame, columns: list[str], order: str = ROW_SEQ, buckets: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlane.functions.ordering import exact_quantiles, value_ranks
+from silverlane.functions.ordering import RankedValues, exact_quantiles, ranked_values
 from silverlane.functions.skew import attach_by_key
 from silverlane.functions.text import categorize
 
@@ -30,21 +30,36 @@ def _amount(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
+def _above(df: DataFrame, column: str, limit: float | None) -> Column:
+    return F.lit(False) if limit is None else F.coalesce(_amount(df, column) > F.lit(limit), F.lit(False))
+
+
 def large_transaction_flag(df: DataFrame, column: str = "amount", share: float = LARGE_SHARE) -> DataFrame:
     """True above the exact 95th percentile; false for a missing amount or one that is no number."""
     limit = exact_quantiles(df.select(column), {column: share})[column].value
-    above = F.lit(False) if limit is None else F.coalesce(_amount(df, column) > F.lit(limit), F.lit(False))
-    return df.withColumn("is_large_transaction", above)
+    return df.withColumn("is_large_transaction", _above(df, column, limit))
 
 
-def amount_percentile(df: DataFrame, column: str = "amount", buckets: int | None = None) -> DataFrame:
-    """Rank of each amount as a share of all, ties sharing their average rank."""
-    total = df.agg(F.count(_amount(df, column))).first()[0]
+def _attach_percentile(df: DataFrame, column: str, ranked: RankedValues) -> DataFrame:
     average_rank = (F.col("upto") - F.col("n") + F.col("upto") + 1) / 2
-    ranks = value_ranks(df.select(column), column, buckets).select(
-        F.col("value").alias(column), "n", (average_rank / F.lit(float(max(1, total)))).alias("amount_percentile")
+    ranks = ranked.table.select(
+        F.col("value").alias(column), "n", (average_rank / F.lit(float(max(1, ranked.rows)))).alias("amount_percentile")
     )
-    return attach_by_key(df, ranks, column, total, ["amount_percentile"])
+    return attach_by_key(df, ranks, column, ranked.rows, ["amount_percentile"])
+
+
+def amount_percentile(df: DataFrame, column: str = "amount", buckets: int | None = None) -> DataFrame:
+    """Rank of each amount as a share of all, ties sharing their average rank."""
+    return _attach_percentile(df, column, ranked_values(df.select(column), column, buckets))
+
+
+def amount_features(
+    df: DataFrame, column: str = "amount", share: float = LARGE_SHARE, buckets: int | None = None
+) -> DataFrame:
+    """Percentile and large flag from one ranking of the amounts."""
+    ranked = ranked_values(df.select(column), column, buckets)
+    flagged = df.withColumn("is_large_transaction", _above(df, column, ranked.quantile(share)))
+    return _attach_percentile(flagged, column, ranked)
 
 
 def date_columns(df: DataFrame) -> list[str]:
@@ -97,7 +112,7 @@ def enrich(
     features = features_for(df, source_name, balance_column)
     out = df
     if "amount_percentile" in features:
-        out = large_transaction_flag(amount_percentile(out, buckets=buckets))
+        out = amount_features(out, buckets=buckets)
     if "transaction_category" in features:
         out = categorize_transactions(out)
     out = date_parts(out)

@@ -20,7 +20,7 @@ from silverlane.operators.quality import THRESHOLD, quarantine_rows, scorecard
 from silverlane.operators.schema import latest_schemas, schema_errors
 from silverlane.operators.suspicious import suspicious_flags, suspicious_summary
 from silverlane.operators.validation import transaction_rules, validity_counts
-from silverlane.session import work_path
+from silverlane.session import materialize
 from silverlane.sources.ingest import Source, ingest_sources
 from silverlane.sources.readers import scan_layer
 from silverlane.sources.writers import write_gold, write_layer, write_log, write_quarantine
@@ -92,18 +92,6 @@ class QualityPlan:
     fail_on_error: bool = False
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared work folder and read back, so later passes start there.
-
-    The stored columns can be read one by one, and a lost executor costs a
-    re-read instead of everything before.
-    """
-    spark = df.sparkSession
-    path = work_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def read_bronze(spark: SparkSession, layout: Layout, name: str, run_id: str) -> DataFrame:
     return scan_layer(spark, f"{layout.bronze}/{name}", run_id).drop(*STORED_ONLY)
 

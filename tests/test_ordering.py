@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from silverlane.functions.ordering import bucket_of, carry_forward, exact_quantiles, value_ranks
+from silverlane.functions import ordering
+from silverlane.functions.ordering import bucket_of, carry_forward, exact_quantiles, ranked_values, value_ranks
 from silverlane.functions.skew import attach_by_key
 from silverlane.operators.enrichment import amount_percentile
 from silverlane.operators.validation import flag_duplicate_keys
@@ -24,10 +25,12 @@ def _values(kind: str, n: int = 4000) -> list:
         return [5.0] * n
     if kind == "gaps":
         return [None if i % 4 == 0 else float(rng.randint(0, 50)) for i in range(n)]
+    if kind == "outlier":
+        return [float(i) for i in range(n - 1)] + [1e12]
     return [None] * 20
 
 
-KINDS = ["smooth", "hot", "tail", "constant", "gaps", "empty"]
+KINDS = ["smooth", "hot", "tail", "constant", "gaps", "outlier", "empty"]
 
 
 def _frame(spark, values):
@@ -71,6 +74,34 @@ def test_value_ranks_are_whole(spark):
         assert r["upto"] == sum(v <= r["value"] for v in values)
 
 
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("fraction", [0.0, 0.5, 0.95, 1.0])
+def test_quantile_from_ranks(spark, kind, fraction):
+    expected = pd.Series(_values(kind), dtype="float64").quantile(fraction)
+    found = ranked_values(_frame(spark, _values(kind)), "amount", buckets=40).quantile(fraction)
+    assert found is None if pd.isna(expected) else found == pytest.approx(expected, rel=1e-12)
+
+
+def test_outliers_do_not_fill_one_bucket(spark, monkeypatch):
+    """Even values and one far away, or a dense clump between far values: no part above three times the mean."""
+    placed = {}
+    resplit = ordering._resplit
+    monkeypatch.setattr(ordering, "_resplit", lambda *args: placed.setdefault("rows", resplit(*args)))
+    far = spark.range(1_000_000).selectExpr("CAST(id AS DOUBLE) AS amount").union(
+        spark.range(1).selectExpr("1e12D AS amount"))
+    clump = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 100 = 0 THEN id * 1e9D WHEN id % 3 = 0 THEN 7D ELSE 1 + id / 1e9D END AS amount")
+    for df in (far, clump):
+        placed.clear()
+        ranked = ranked_values(df, "amount", buckets=200)
+        parts = [row["count"] for row in placed["rows"].groupBy("bucket", "part").count().collect()]
+        assert max(parts) < 3 * sum(parts) / 200 and len(parts) < 4 * 200 + 32
+        want = pd.Series([row["amount"] for row in df.collect()]).rank(method="max")
+        top = ranked.table.agg(F.max("upto"), F.sum("n"), F.count("value")).first()
+        assert top[0] == top[1] == len(want) == ranked.rows and top[2] == want.nunique()
+        assert ranked.table.agg(F.sum("upto")).first()[0] == want.drop_duplicates().sum()
+
+
 @pytest.mark.parametrize("buckets", [1, 5, 64])
 def test_carry_forward(spark, buckets):
     rng = random.Random(3)
