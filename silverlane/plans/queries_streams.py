@@ -84,3 +84,34 @@ def stream_dedupe(spark, sf_dir):
     jobs.start_append(kept, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out").select(
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value")
+
+
+@query("stream_dedupe_hot", """
+    SELECT DISTINCT CASE WHEN event_id % 10 = 0 THEN event_id ELSE -1 END AS dedupe_key, 1 AS copies FROM events""")
+def stream_dedupe_hot(spark, sf_dir):
+    """Nine tenths of the events share one key; it comes out once, like every other."""
+    root = work_path(spark, "stream")
+    keyed = _stream(spark, sf_dir, "events", [
+        ("dedupe_key", "CASE WHEN event_id % 10 = 0 THEN event_id ELSE -1 END"), ("ts", "ts")])
+    kept = jobs.stream_dedupe_spread(keyed, ["dedupe_key"], "ts", "3650 days")
+    jobs.start_append(kept, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("dedupe_key").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("stream_late_rows", """
+    SELECT event_id, ts, user_id, event_type, value,
+        CASE WHEN event_id % 5 = 0 AND ts <= (SELECT max(ts) FROM events WHERE event_id % 5 <> 0) - INTERVAL 1 HOUR
+        THEN 'late' ELSE 'on_time' END AS arrival FROM events""")
+def stream_late_rows(spark, sf_dir):
+    """A fifth of the events arrives after all others; those too late are kept apart, none is lost."""
+    root = work_path(spark, "stream")
+    events = table(spark, sf_dir, "events")
+    for held_back in (False, True):
+        part = events.filter((F.col("event_id") % 5 == 0) == F.lit(held_back))
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = jobs.file_stream(spark, f"{root}/in", events.schema)
+        jobs.stream_split_late(stream, "ts", LATE_DELAY, f"{root}/split", f"{root}/checkpoint").awaitTermination()
+    late, on_time = (
+        jobs.arrivals(spark, f"{root}/split", kind, events.schema).withColumn("arrival", F.lit(kind))
+        for kind in ("late", "on_time"))
+    return late.unionByName(on_time).select("event_id", "ts", "user_id", "event_type", "value", "arrival")

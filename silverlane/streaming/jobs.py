@@ -6,7 +6,7 @@ import threading
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -19,6 +19,8 @@ from silverlane.operators.suspicious import (
 PROGRESS_SCHEMA = "run_id string, batch_id bigint, input_rows bigint, late_rows bigint"
 TRIGGER = "10 seconds"
 FRAUD_DELAY = "30 seconds"
+MARK_SCHEMA = "latest timestamp"
+SALT, SALTS = "_salt", 64
 
 
 def file_stream(
@@ -97,6 +99,71 @@ def stream_dedupe(stream: DataFrame, keys: list[str], timestamp: str, delay: str
     return with_event_time(stream, timestamp).withWatermark(timestamp, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def stream_dedupe_spread(stream: DataFrame, keys: list[str], timestamp: str, delay: str, salts: int = SALTS) -> DataFrame:
+    """``stream_dedupe`` for keys that may hold most rows: once per key and input partition, then once per key.
+
+    The first level spreads the copies of a key over up to ``salts`` state tasks, and the second sees at most that many
+    of them while they are remembered. Copies closer than ``delay`` come out once, as with one level; a copy later than
+    that may come out again or not, as there. A null key is a key like any other.
+    """
+    salted = with_event_time(stream, timestamp).withWatermark(timestamp, delay).withColumn(
+        SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return salted.dropDuplicatesWithinWatermark([*keys, SALT]).drop(SALT).dropDuplicatesWithinWatermark(keys)
+
+
+def _mark(spark: SparkSession, base: str, batch_id: int) -> datetime | None:
+    """Latest event time of all batches up to ``batch_id``, None before any row came."""
+    if batch_id < 0:
+        return None
+    row = spark.read.schema(MARK_SCHEMA).parquet(f"{base}/marks/batch_id={batch_id}").first()  # one row per batch
+    return row and row["latest"]
+
+
+def late_split_batch(base: str, timestamp: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """Batch function: rows behind the watermark go to ``arrival=late``, all others to ``arrival=on_time``.
+
+    The watermark is Spark's: the latest event time of earlier batches, in whole milliseconds, less ``delay``. Rows at
+    it are late, rows without a time never. A batch stores the latest time up to itself as one row and reads only the
+    one before it, so a replayed batch finds the same watermark and overwrites its own output.
+    """
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _mark(spark, base, batch_id - 1)
+        moment = F.col(timestamp).cast("timestamp")
+        late = F.lit(False)
+        if before is not None:
+            edge = F.date_trunc("MILLISECOND", F.lit(before).cast("timestamp")) - F.expr(f"INTERVAL {delay}")
+            late = F.coalesce(moment <= edge, F.lit(False))
+        seen = Observation()
+        (
+            batch.observe(seen, F.max(moment).alias("latest"))
+            .withColumns({"arrival": F.when(late, "late").otherwise("on_time"), "batch_id": F.lit(batch_id)})
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("arrival", "batch_id").parquet(f"{base}/rows")
+        )
+        known = [time for time in (before, seen.get["latest"]) if time is not None]
+        mark = spark.createDataFrame([(max(known) if known else None,)], MARK_SCHEMA)
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{base}/marks/batch_id={batch_id}")
+
+    return process
+
+
+def stream_split_late(
+    stream: DataFrame, timestamp: str, delay: str, base: str, checkpoint: str, drain: bool = True
+) -> StreamingQuery:
+    """Keep every row: late ones apart from those on time, without state and without a shuffle."""
+    writer = stream.writeStream.foreachBatch(late_split_batch(base, timestamp, delay)).option(
+        "checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=TRIGGER)).start()
+
+
+def arrivals(spark: SparkSession, base: str, kind: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``stream_split_late`` that were ``late`` or ``on_time``, with the batch they came in."""
+    stored = T.StructType([*schema.fields, T.StructField("arrival", T.StringType()), T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(stored).parquet(f"{base}/rows")
+    return rows.filter(F.col("arrival") == kind).drop("arrival")
+
+
 class ProgressLog(StreamingQueryListener):
     """Appends input rows and rows dropped as late of every micro-batch to a table, however long a stream runs.
 
