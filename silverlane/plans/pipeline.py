@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,26 +143,48 @@ def stored_fields(spark: SparkSession, layout: Layout, name: str, run_id: str) -
     return earlier or latest_schemas(stored.filter(F.col("_run_id") == run_id)).collect()
 
 
+def _raw_card(
+    spark: SparkSession, layout: Layout, name: str, run_id: str, at: datetime, plan: QualityPlan
+) -> DataFrame:
+    raw = read_bronze(spark, layout, name, run_id)
+    fields = stored_fields(spark, layout, name, run_id)
+    card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
+    return card.select(F.lit(name).alias("source_name"), "total_rows", "check", "score", "passed")
+
+
+def _card_rows(cards: dict[str, DataFrame]) -> list[tuple]:
+    """Six rows per source. All sources are one action; only if it breaks off is each tried alone."""
+    if not cards:
+        return []
+    try:
+        return [tuple(row) for row in reduce(DataFrame.unionByName, cards.values()).collect()]
+    except Exception as problem:  # noqa: BLE001 - a broken check of one source must not stop the rest
+        if len(cards) > 1:
+            return [row for name, card in cards.items() for row in _card_rows({name: card})]
+        return [_broken_card(next(iter(cards)), problem)]
+
+
+def _broken_card(name: str, problem: Exception) -> tuple:
+    LOG.warning("quality check of %s broke off: %s", name, str(problem).split("\n")[0])
+    return (name, None, "overall", 0.0, False)
+
+
 def bronze_quality(
     spark: SparkSession, layout: Layout, names: list[str], run_id: str, at: datetime, plans: dict[str, QualityPlan]
 ) -> DataFrame:
     """Scorecard of every landed source; stored row hashes stand for whole rows.
 
     Raw rows are held against the schema of the run before, or of this run when there is none. Cards are evaluated
-    once. A source whose check breaks off fails overall with score 0 and no row count; why is logged as a warning.
+    once, all sources side by side in one action. A source whose check breaks off fails overall with score 0 and no row
+    count; why is logged as a warning.
     """
-    cards = []
+    cards, broken = {}, []
     for name in names:
-        plan = plans.get(name, QualityPlan())
         try:
-            raw = read_bronze(spark, layout, name, run_id)
-            fields = stored_fields(spark, layout, name, run_id)
-            card = scorecard(raw, plan.rules, fields, at, plan.threshold, fingerprint="_record_hash")
-            cards += [(name, *row) for row in card.select("total_rows", "check", "score", "passed").collect()]
-        except Exception as problem:  # noqa: BLE001 - a broken check of one source must not stop the rest
-            LOG.warning("quality check of %s broke off: %s", name, str(problem).split("\n")[0])
-            cards.append((name, None, "overall", 0.0, False))
-    return spark.createDataFrame(cards, CARD_SCHEMA)
+            cards[name] = _raw_card(spark, layout, name, run_id, at, plans.get(name, QualityPlan()))
+        except Exception as problem:  # noqa: BLE001 - as above
+            broken.append(_broken_card(name, problem))
+    return spark.createDataFrame(_card_rows(cards) + broken, CARD_SCHEMA)
 
 
 def _stage_status(status: Column) -> Column:
