@@ -22,15 +22,57 @@ from silverlane.llm.common import small_batches
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Wording of public licenses and of the usual notices, label first.
+# Whole wording of short public licenses, the copyright grant of Apache 2.0, and the notices that
+# licenses ask for or that stand for them, label first.
 TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
             "associated documentation files <<any 3>> to deal in the software without restriction including without "
             "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the "
             "software and to permit persons to whom the software is furnished to do so subject to the following "
-            "conditions <<optional>>the above copyright notice and this permission notice <<optional>>including the "
-            "next paragraph<</optional>> shall be included in all copies or substantial portions of the software"
-            "<</optional>>"),
+            "conditions <<any 1>> the above copyright notice and this permission notice <<optional>>including the "
+            "next paragraph<</optional>> shall be included in all copies or substantial portions of the software "
+            "the software is provided as is without warranty of any kind express or implied including but not limited "
+            "to the warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+            "shall <<any 12>> be liable for any claim damages or other liability whether in an action of contract tort "
+            "or otherwise arising from out of or in connection with the software or the use or other dealings in the "
+            "software"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
+            "that the following conditions are met <<any 1>> redistributions of source code must retain the above "
+            "copyright notice this list of conditions and the following disclaimer <<any 1>> redistributions in binary "
+            "form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+            "documentation and or other materials provided with the distribution <<optional>><<any 1>> neither the name "
+            "of <<any 12>> nor the names of <<any 2>> contributors may be used to endorse or promote products derived "
+            "from this software without specific prior written permission<</optional>> this software is provided by "
+            "<<any 12>> as is and any express or implied warranties including but not limited to the implied warranties "
+            "of merchantability and fitness for a particular purpose are disclaimed in no event shall <<any 12>> be "
+            "liable for any direct indirect incidental special exemplary or consequential damages including but not "
+            "limited to procurement of substitute goods or services loss of use data or profits or business "
+            "interruption however caused and on any theory of liability whether in contract strict liability or tort "
+            "including negligence or otherwise arising in any way out of the use of this software even if advised of "
+            "the possibility of such damage"),
+    ("isc", "permission to use copy modify and <<optional>>or<</optional>> distribute this software for any purpose "
+            "with or without fee is hereby granted provided that the above copyright notice and this permission notice "
+            "appear in all copies the software is provided as is and <<any 6>> disclaims all warranties with regard to "
+            "this software including all implied warranties of merchantability and fitness in no event shall <<any 6>> "
+            "be liable for any special direct indirect or consequential damages or any damages whatsoever resulting "
+            "from loss of use data or profits whether in an action of contract negligence or other tortious action "
+            "arising out of or in connection with the use or performance of this software"),
+    ("apache", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual "
+               "worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare "
+               "derivative works of publicly display publicly perform sublicense and distribute the work and such "
+               "derivative works in source or object form"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in "
+               "compliance with the license you may obtain a copy of the license at <<any 1>> www apache org licenses "
+               "license 2 0 unless required by applicable law or agreed to in writing <<optional>>software<</optional>> "
+               "distributed under the license is distributed on an as is basis without warranties or conditions of any "
+               "kind either express or implied see the license for the specific language governing permissions and "
+               "limitations under the license"),
+    ("gpl", "is free software you can redistribute it and or modify it under the terms of the gnu "
+            "<<optional>>lesser<</optional>> <<optional>>affero<</optional>> general public license as published by "
+            "the free software foundation either version <<any 2>> of the license <<optional>>or at your option any "
+            "later version<</optional>> <<any 6>> is distributed in the hope that it will be useful but without any "
+            "warranty without even the implied warranty of merchantability or fitness for a particular purpose see the "
+            "gnu <<optional>>lesser<</optional>> <<optional>>affero<</optional>> general public license for more details"),
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
     ("apache", "licensed under the apache license version 2 0 <<optional>>the license you may not use this file "
@@ -40,10 +82,6 @@ TEMPLATES = (
             "the free software foundation"),
     ("gpl", "licensed under the <<optional>>terms of the<</optional>> gnu <<optional>>lesser<</optional>> "
             "<<optional>>affero<</optional>> general public license <<optional>>version 3<</optional>>"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
-            "that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl", "subject to the terms of the mozilla public license v 2 0"),
     ("cc-by-nc", "licensed under <<optional>>a<</optional>> cc by nc <<optional>>4 0<</optional>>"),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial <<any 3>> license"),
