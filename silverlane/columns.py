@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 ROW_SEQ = "_row_seq"
 COPIES = "_copies"
+LEFT_OUT = "amounts_left_out"
 
 # Name fragments that decide how a column is filled and parsed.
 ZERO_FILL_NAMES = ("amount", "balance")

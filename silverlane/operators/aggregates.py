@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlane.columns import money_count, money_mean, money_sum, ratio, to_pence
+from silverlane.columns import LEFT_OUT, money_count, money_mean, money_misfits, money_sum, ratio, to_pence
 from silverlane.functions.text import CATEGORY_WORDS
 
 LARGE_TOTAL = 10_000
@@ -16,7 +16,15 @@ CATEGORIES = tuple(name for name, _ in CATEGORY_WORDS) + ("Other", "Unknown")
 
 def _amount_totals() -> list[Column]:
     amount = F.col("amount")
-    return [money_sum(amount).alias("_total"), money_count(amount).alias("_added"), F.count(amount).alias("amount_count")]
+    return [
+        money_sum(amount).alias("_total"), money_count(amount).alias("_added"), F.count(amount).alias("amount_count"),
+        money_misfits(amount).alias(LEFT_OUT),
+    ]
+
+
+def _shown(left_out: bool) -> list[str]:
+    """The column a roll-up ends with when it shows how many amounts its sums leave out."""
+    return [LEFT_OUT] if left_out else []
 
 
 def _amount_columns() -> list[Column]:
@@ -31,7 +39,7 @@ def month_of(column: str = "transaction_date") -> Column:
     return F.date_format(column, "yyyy-MM")
 
 
-def monthly_by_account(df: DataFrame, category_map: bool = False) -> DataFrame:
+def monthly_by_account(df: DataFrame, category_map: bool = False, left_out: bool = False) -> DataFrame:
     """Amount statistics per account and month.
 
     A missing date forms its own month; a missing account is dropped. The
@@ -54,7 +62,7 @@ def monthly_by_account(df: DataFrame, category_map: bool = False) -> DataFrame:
     if category_map:
         entries = F.array(*[F.struct(F.lit(n).alias("k"), F.col(f"_n_{n}").alias("v")) for n in CATEGORIES])
         columns.append(F.map_from_entries(F.filter(entries, lambda e: e["v"] > 0)).alias("category_counts"))
-    return grouped.select(*columns)
+    return grouped.select(*columns, *_shown(left_out))
 
 
 def monthly_category_counts(df: DataFrame) -> DataFrame:
@@ -66,7 +74,7 @@ def monthly_category_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def by_category(df: DataFrame, approximate_accounts: bool = False) -> DataFrame:
+def by_category(df: DataFrame, approximate_accounts: bool = False, left_out: bool = False) -> DataFrame:
     """Amount statistics and distinct accounts per category."""
     accounts = F.approx_count_distinct("account_id") if approximate_accounts else F.count_distinct("account_id")
     return (
@@ -79,22 +87,23 @@ def by_category(df: DataFrame, approximate_accounts: bool = False) -> DataFrame:
         .select(
             "transaction_category", *_amount_columns(),
             F.round("_min", 2).alias("amount_min"), F.round("_max", 2).alias("amount_max"), "account_count",
+            *_shown(left_out),
         )
     )
 
 
-def daily(df: DataFrame) -> DataFrame:
+def daily(df: DataFrame, left_out: bool = False) -> DataFrame:
     """Amount statistics, distinct accounts and large count per calendar day."""
     large = F.count_if("is_large_transaction") if "is_large_transaction" in df.columns else F.count(F.lit(1))
     return (
         df.filter(F.col("transaction_date").isNotNull())
         .groupBy(F.to_date("transaction_date").alias("day"))
         .agg(*_amount_totals(), F.count_distinct("account_id").alias("account_count"), large.alias("large_count"))
-        .select("day", *_amount_columns(), "account_count", "large_count")
+        .select("day", *_amount_columns(), "account_count", "large_count", *_shown(left_out))
     )
 
 
-def by_account(df: DataFrame) -> DataFrame:
+def by_account(df: DataFrame, left_out: bool = False) -> DataFrame:
     """Sum, count, smallest and largest amount per account."""
     return (
         df.filter(F.col("account_id").isNotNull())
@@ -102,23 +111,24 @@ def by_account(df: DataFrame) -> DataFrame:
         .agg(*_amount_totals(), F.min("amount").alias("_min"), F.max("amount").alias("_max"))
         .select(
             "account_id", to_pence(F.col("_total")).alias("amount_sum"), "amount_count",
-            F.round("_min", 2).alias("amount_min"), F.round("_max", 2).alias("amount_max"),
+            F.round("_min", 2).alias("amount_min"), F.round("_max", 2).alias("amount_max"), *_shown(left_out),
         )
     )
 
 
-def transaction_totals(flagged: DataFrame) -> DataFrame:
+def transaction_totals(flagged: DataFrame, left_out: bool = False) -> DataFrame:
     """Volume, value, suspicious and large counts of a flagged frame, in one row."""
     totals = flagged.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         money_sum(F.col("amount")).alias("_total"),
         F.count("suspicious_flags").alias("suspicious_transactions"),
         F.count_if(F.col("amount") > LARGE_TOTAL).alias("large_transactions"),
+        money_misfits(F.col("amount")).alias(LEFT_OUT),
     )
     return totals.select(
         "total_transactions", to_pence(F.col("_total")).alias("total_amount"),
         F.coalesce(money_mean(F.col("_total"), F.col("total_transactions")), F.lit(0.0)).alias("average_amount"),
-        "suspicious_transactions", "large_transactions",
+        "suspicious_transactions", "large_transactions", *_shown(left_out),
     )
 
 
@@ -151,15 +161,15 @@ def kpi_snapshot(flagged: DataFrame, operations: DataFrame, checks: DataFrame, s
 
 
 def gold_tables(df: DataFrame, aggregated_at: datetime) -> dict[str, DataFrame]:
-    """The roll-ups that fit the columns at hand, by name."""
+    """The roll-ups that fit the columns at hand, by name; each row tells how many amounts its sums leave out."""
     have = set(df.columns)
     tables: dict[str, DataFrame] = {}
     if {"account_id", "amount", "transaction_date", "is_large_transaction", "transaction_category"} <= have:
-        tables["monthly_by_account"] = monthly_by_account(df, category_map=True)
+        tables["monthly_by_account"] = monthly_by_account(df, category_map=True, left_out=True)
     if {"transaction_category", "amount", "account_id"} <= have:
-        tables["by_category"] = by_category(df)
+        tables["by_category"] = by_category(df, left_out=True)
     if {"transaction_date", "amount", "account_id"} <= have:
-        tables["daily"] = daily(df)
+        tables["daily"] = daily(df, left_out=True)
     stamp = F.lit(aggregated_at).cast("timestamp_ntz")
     return {
         name: table.withColumns({"aggregation_type": F.lit(name), "_aggregation_timestamp": stamp})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlane.columns import MONEY_TYPE, money_sum, ratio, to_pence
+from silverlane.columns import LEFT_OUT, MONEY_TYPE, money_misfits, money_sum, ratio, to_pence
 from silverlane.functions.validators import plain_date
 
 # Limits of the flags and of the sliding window alert.
@@ -40,12 +40,13 @@ def suspicious_summary(flagged: DataFrame) -> DataFrame:
     )
 
 
-def same_day_velocity(df: DataFrame, minimum: int = 2) -> DataFrame:
-    """Account-days with at least ``minimum`` transactions."""
+def same_day_velocity(df: DataFrame, minimum: int = 2, left_out: bool = False) -> DataFrame:
+    """Account-days with at least ``minimum`` transactions; ``left_out`` adds how many amounts a sum leaves out."""
+    misfits = [money_misfits(F.col("amount")).alias(LEFT_OUT)] if left_out else []
     return (
         df.filter(F.col("account_id").isNotNull() & F.col("transaction_date").isNotNull())
         .groupBy("account_id", F.to_date("transaction_date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("transactions"), to_pence(money_sum(F.col("amount"))).alias("amount_sum"))
+        .agg(F.count(F.lit(1)).alias("transactions"), to_pence(money_sum(F.col("amount"))).alias("amount_sum"), *misfits)
         .filter(F.col("transactions") >= minimum)
     )
 

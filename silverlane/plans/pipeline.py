@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlane.columns import LEFT_OUT, money_misfits
 from silverlane.functions.rules import Rule, with_errors
 from silverlane.operators.aggregates import gold_tables
 from silverlane.operators.audit import audit_events
@@ -30,7 +31,7 @@ LOG = logging.getLogger(__name__)
 STORED_ONLY = ("_run_id", "year", "month")
 TRANSFORM_SCHEMA = (
     "source_name string, original_rows bigint, final_rows bigint, quarantined_rows bigint, "
-    "aggregations_created int, data_quality_passed boolean, status string, error string"
+    "aggregations_created int, data_quality_passed boolean, status string, error string, amounts_left_out bigint"
 )
 CARD_SCHEMA = "source_name string, total_rows bigint, check string, score double, passed boolean"
 STAGE_SCHEMA = "run_id string, stage string, source_name string, status string, rows bigint, passed boolean"
@@ -104,7 +105,10 @@ def transform_source(
     """Raw rows of one source to trusted rows and roll-ups; returns a result row."""
     # Quantiles, ranks and checks each scan the cleaned rows, so they are stored once.
     cleaned = materialize(clean(read_bronze(spark, layout, name, run_id), at, overrides), f"cleaned-{name}")
-    counts = cleaned.agg(*cleaning_measures()).first()
+    misfits = money_misfits(F.col("amount")) if "amount" in cleaned.columns else F.lit(0).cast("bigint")
+    counts = cleaned.agg(*cleaning_measures(), misfits.alias(LEFT_OUT)).first()
+    if counts[LEFT_OUT]:
+        LOG.warning("sums of %s leave out %d amounts that are no finite number below 10^22", name, counts[LEFT_OUT])
     card = scorecard(cleaned.drop("_copies"), plan.rules, plan.fields, at, plan.threshold, distinct=True)
     passed = card.filter(F.col("check") == "overall").first()["passed"]
     if plan.fail_on_error and not passed:
@@ -117,7 +121,8 @@ def transform_source(
     silver_path, _ = write_layer(enrich(cleaned.drop("_copies"), name, at), layout.silver, name, at, run_id)
     tables = gold_tables(scan_layer(spark, silver_path, run_id), at)
     write_gold(tables, layout.gold, name, at, run_id)
-    return (name, counts["original_rows"], counts["final_rows"], quarantined, len(tables), passed, "success", None)
+    return (name, counts["original_rows"], counts["final_rows"], quarantined, len(tables), passed, "success", None,
+            counts[LEFT_OUT])
 
 
 def run_transformation(
@@ -132,7 +137,7 @@ def run_transformation(
             results.append(transform_source(spark, layout, name, run_id, at, plan))
         except Exception as problem:  # noqa: BLE001 - any failure of one source must not stop the rest
             message = str(problem).split("\n")[0]
-            results.append((name, None, None, None, None, None, "failed", message))
+            results.append((name, None, None, None, None, None, "failed", message, None))
     return spark.createDataFrame(results, TRANSFORM_SCHEMA)
 
 

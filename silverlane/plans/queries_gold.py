@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlane.functions.rules import with_errors
@@ -170,3 +173,45 @@ def kpi_snapshot(spark, sf_dir):
     kpis = aggregates.kpi_snapshot(
         suspicious_flags(checked), view(spark, sf_dir, "ops"), view(spark, sf_dir, "checks"))
     return kpis.select("kpi", F.round("value", 6).alias("value"))
+
+
+# Amounts no sum can take: beyond the decimal range, infinite, no number.
+_EXTREMES = ("1e25", "'Infinity'", "'-Infinity'", "'NaN'", "-1e22")
+_EXTREME = " ".join(f"WHEN _row_seq % 97 = {i} THEN CAST({value} AS DOUBLE)" for i, value in enumerate(_EXTREMES))
+_EXTREME = f"CASE {_EXTREME} ELSE amount END"
+_LEFT_OUT_SQL = "count(*) FILTER (WHERE NOT isfinite(wild) OR abs(wild) >= 1e22) AS amounts_left_out"
+
+
+def _report_sql(name: str, key: str, wanted: str) -> str:
+    return f"""SELECT '{name}' AS roll_up, {key} AS group_key, {SUM_SQL}, {_LEFT_OUT_SQL} FROM wild
+        WHERE {wanted} GROUP BY ALL"""
+
+
+@query("amounts_left_out", with_views(
+    ["txn_gaps"], " UNION ALL ".join([
+        _report_sql("by_category", "transaction_category", "true"),
+        _report_sql("daily", "strftime(transaction_date, '%Y-%m-%d')", "transaction_date IS NOT NULL"),
+        _report_sql("monthly_by_account", "account_id || '|' || coalesce(strftime(transaction_date, '%Y-%m'), '')",
+                    "account_id IS NOT NULL"),
+        _report_sql("by_account", "account_id", "account_id IS NOT NULL"),
+        _report_sql("total", "'all'", "true"),
+    ]),
+    silver=SILVER_SQL, wild=f"""SELECT * REPLACE (
+        CASE WHEN isfinite(wild) AND abs(wild) < 1e22 THEN CAST(wild AS DECIMAL(28,6)) END AS exact)
+        FROM (SELECT *, {_EXTREME} AS wild FROM silver)"""))
+def amounts_left_out(spark, sf_dir):
+    """Every roll-up of amounts shows what its sums leave out."""
+    wild = _silver(spark, sf_dir).withColumn("amount", F.expr(_EXTREME))
+    tables = aggregates.gold_tables(wild, ORDERS_AS_OF) | {
+        "by_account": aggregates.by_account(wild, left_out=True),
+        "total": aggregates.transaction_totals(suspicious_flags(wild), left_out=True).withColumnRenamed(
+            "total_amount", "amount_sum"),
+    }
+    keys = {
+        "by_category": F.col("transaction_category"), "daily": F.col("day").cast("string"),
+        "monthly_by_account": F.concat_ws("|", "account_id", F.coalesce("year_month", F.lit(""))),
+        "by_account": F.col("account_id"), "total": F.lit("all"),
+    }
+    return reduce(DataFrame.unionByName, [
+        table.select(F.lit(name).alias("roll_up"), keys[name].alias("group_key"), "amount_sum", "amounts_left_out")
+        for name, table in tables.items()])

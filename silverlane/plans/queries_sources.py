@@ -376,7 +376,7 @@ def transform_results(spark, sf_dir):
     layout = pipeline.Layout(work_path(spark, "pipeline"))
     _landed_dirty(spark, sf_dir, layout)
     results = pipeline.run_transformation(spark, layout, ["transactions"], RUN, INGESTED_AT, {"transactions": PLAN})
-    return results.drop("error")
+    return results.drop("error", "amounts_left_out")
 
 
 @query("full_pipeline", with_views(["txn", "acct"], """
