@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverlane.session import materialize
+
 KEYS_PER_PARTITION = 4
 
 
@@ -35,3 +37,13 @@ def attach_by_key(df: DataFrame, facts: DataFrame, key: str, total_rows: int, pa
         F.broadcast(hot.select("_hot_key")), F.col(key) == F.col("_hot_key"), "left_anti"
     )
     return settled.unionByName(keyed.join(cold, F.col(key) == F.col("_cold_key"), "left").select(*chosen))
+
+
+def attach_stored(df: DataFrame, facts: DataFrame, key: str, payload: list[str]) -> DataFrame:
+    """``attach_by_key`` with facts that are costly to make: they are stored, and rows are counted from them.
+
+    Rows whose key has no facts do not count; that only lowers the limit, and fewer keys than the bound can still be hot.
+    """
+    kept = materialize(facts, "facts")
+    total = kept.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return attach_by_key(df, kept, key, total, payload)

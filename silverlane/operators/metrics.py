@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.columns import ratio
 from silverlane.functions.severity import CRITICAL, HIGH, MEDIUM, severity_high_is_bad, severity_low_is_bad
-from silverlane.functions.skew import attach_by_key
+from silverlane.functions.skew import attach_stored
 
 # Thresholds and history lengths.
 MAX_DURATIONS = {"ingestion": 300.0, "transformation": 600.0, "validation": 180.0}
@@ -83,9 +83,8 @@ def runs_by_pipeline(runs: DataFrame) -> DataFrame:
     facts = runs.groupBy("pipeline_name").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.when(good, position)).alias("_last")
     )
-    total = runs.agg(F.count(F.lit(1))).first()[0]
     return (
-        attach_by_key(runs, facts, "pipeline_name", total, ["_last"])
+        attach_stored(runs, facts, "pipeline_name", ["_last"])
         .groupBy("pipeline_name")
         .agg(
             F.count(F.lit(1)).alias("total_runs"),

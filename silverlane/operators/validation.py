@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverlane.columns import ratio
 from silverlane.functions.rules import ERRORS, Rule, predicate
-from silverlane.functions.skew import attach_by_key
+from silverlane.functions.skew import attach_stored
 
 # Field rules of the three schemas.
 TRANSACTION_TYPES = ("CREDIT", "DEBIT", "TRANSFER", "PAYMENT", "WITHDRAWAL", "DEPOSIT")
@@ -109,9 +109,8 @@ def unique_key_violations(df: DataFrame, key: str) -> DataFrame:
 
 def flag_duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Mark every row whose key another row holds too."""
-    total = df.agg(F.count(F.lit(1))).first()[0]
     repeated = unique_key_violations(df, key).withColumn("_repeated", F.lit(True))
-    marked = attach_by_key(df, repeated, key, total, ["_repeated"])
+    marked = attach_stored(df, repeated, key, ["_repeated"])
     return marked.withColumn("is_duplicate_key", F.coalesce("_repeated", F.lit(False))).drop("_repeated")
 
 
