@@ -116,6 +116,29 @@ def test_limit_spares_good_rows():
     assert R._limit(np.concatenate([np.linspace(0.2, 0.5, 1000), [0.1] * 20]), good) > 1
 
 
+def test_all_labelled_rows_weigh_trees_and_set_the_limit(spark):
+    rng = np.random.default_rng(7)
+    n = 30_000
+    n_words, good = rng.integers(40, 400, n), np.arange(n) % 100 > 0
+    chars = 5 * n_words + rng.integers(0, 40, n)
+    symbols = np.where(good, rng.integers(0, 3, n), n_words * 3 // 2)
+    few = [rng.integers(0, top, n) for top in (3, 20, 20, 20)]
+    counts = np.column_stack([
+        n_words, chars, symbols, few[0], 0 * few[0], 1 + n_words // 30, n_words * 4 // 5, chars - symbols - few[1], *few[1:]])
+    table = pa.table({"doc_id": np.arange(n), **{c: counts[:, i] for i, c in enumerate(R.COUNTS)}, "quality": good.astype(int)})
+    df = spark.createDataFrame(table).repartition(5)
+    rows = sorted(R.judge(df.drop("quality"), df.select("doc_id", "quality"), "doc_id", "quality").collect())
+    different = np.unique(counts, axis=0, return_index=True)[1]
+    weighing = np.isin(np.arange(n), different)
+    seen = R.ratios(counts)
+    forest = R.Forest.grow(seen[good & weighing], seen.min(0), seen.max(0))
+    scores = forest.score(seen)
+    limit = R._limit(scores[weighing], good[weighing])
+    assert np.allclose([r.anomaly for r in rows], scores, rtol=1e-12)
+    assert 20_000 < weighing.sum() and 0 < limit < 1
+    assert [r.kept for r in rows] == (scores < limit).tolist()
+
+
 def test_odd_rows_and_labels(spark):
     texts = odd_texts()
     df = documents(spark, texts)
