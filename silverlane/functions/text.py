@@ -102,14 +102,15 @@ KIND_BITS = {"integer": 1, "decimal": 2, "datetime": 4, "boolean": 8, "text": 16
 def value_kind(column: Column) -> Column:
     """What a text value reads as, as its bit in KIND_BITS; null for null.
 
-    Most text starts with a letter and is settled by the first test.
+    Most text starts with a letter and is settled by its first character.
     """
     bare = F.trim(column)
+    first = F.ascii(bare)
     bit = {name: F.lit(value) for name, value in KIND_BITS.items()}
-    word = F.when(F.lower(bare).isin(*BOOLEAN_WORDS), bit["boolean"]).otherwise(bit["text"])
+    boolean = first.isin(*map(ord, "tTfF")) & F.lower(bare).isin(*BOOLEAN_WORDS)
     return (
         F.when(column.isNull(), F.lit(None).cast("int"))
-        .when(~bare.rlike("^[0-9+.-]"), word)
+        .when(~first.isin(*map(ord, "0123456789+.-")), F.when(boolean, bit["boolean"]).otherwise(bit["text"]))
         .when(bare.rlike(INTEGER_PATTERN), bit["integer"])
         .when(bare.rlike(NUMBER_PATTERN), bit["decimal"])
         .when(datetime_from_text(column).isNotNull(), bit["datetime"])

@@ -6,19 +6,26 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverlane.columns import LEFT_OUT, money_count, money_mean, money_misfits, money_sum, ratio, to_pence
+from silverlane.columns import LEFT_OUT, MONEY_TYPE, money_count, money_mean, money_misfits, money_sum, ratio, to_pence
 from silverlane.functions.text import CATEGORY_WORDS
 
 LARGE_TOTAL = 10_000
 CATEGORIES = tuple(name for name, _ in CATEGORY_WORDS) + ("Other", "Unknown")
 
 
+def _with_exact(df: DataFrame) -> DataFrame:
+    """The amount as an exact number in ``_exact``: made once a row, as that costs more than adding it."""
+    return df.withColumn("_exact", F.col("amount").try_cast(MONEY_TYPE))
+
+
 def _amount_totals() -> list[Column]:
-    amount = F.col("amount")
+    """Of a frame of ``_with_exact``."""
+    amount, exact = F.col("amount"), F.col("_exact")
     return [
-        money_sum(amount).alias("_total"), money_count(amount).alias("_added"), F.count(amount).alias("amount_count"),
-        money_misfits(amount).alias(LEFT_OUT),
+        money_sum(exact).alias("_total"), money_count(exact).alias("_added"), F.count(amount).alias("amount_count"),
+        F.count_if(amount.isNotNull() & exact.isNull()).alias(LEFT_OUT),
     ]
 
 
@@ -53,12 +60,15 @@ def monthly_by_account(df: DataFrame, category_map: bool = False, left_out: bool
     ]
     if category_map:
         measures += [F.count_if(F.col("transaction_category") == name).alias(f"_n_{name}") for name in CATEGORIES]
+    moment = isinstance(df.schema["transaction_date"].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    month = F.trunc("transaction_date", "month") if moment else month_of()  # formatted once a group
     grouped = (
-        df.filter(F.col("account_id").isNotNull())
-        .groupBy("account_id", month_of().alias("year_month"))
+        _with_exact(df.filter(F.col("account_id").isNotNull()))
+        .groupBy("account_id", month.alias("_month"))
         .agg(*measures)
     )
-    columns = ["account_id", "year_month", *_amount_columns(), "amount_std", "large_count"]
+    shown = month_of("_month") if moment else F.col("_month")
+    columns = ["account_id", shown.alias("year_month"), *_amount_columns(), "amount_std", "large_count"]
     if category_map:
         entries = F.array(*[F.struct(F.lit(n).alias("k"), F.col(f"_n_{n}").alias("v")) for n in CATEGORIES])
         columns.append(F.map_from_entries(F.filter(entries, lambda e: e["v"] > 0)).alias("category_counts"))
@@ -78,7 +88,7 @@ def by_category(df: DataFrame, approximate_accounts: bool = False, left_out: boo
     """Amount statistics and distinct accounts per category."""
     accounts = F.approx_count_distinct("account_id") if approximate_accounts else F.count_distinct("account_id")
     return (
-        df.filter(F.col("transaction_category").isNotNull())
+        _with_exact(df.filter(F.col("transaction_category").isNotNull()))
         .groupBy("transaction_category")
         .agg(
             *_amount_totals(), F.min("amount").alias("_min"), F.max("amount").alias("_max"),
@@ -96,7 +106,7 @@ def daily(df: DataFrame, left_out: bool = False) -> DataFrame:
     """Amount statistics, distinct accounts and large count per calendar day."""
     large = F.count_if("is_large_transaction") if "is_large_transaction" in df.columns else F.count(F.lit(1))
     return (
-        df.filter(F.col("transaction_date").isNotNull())
+        _with_exact(df.filter(F.col("transaction_date").isNotNull()))
         .groupBy(F.to_date("transaction_date").alias("day"))
         .agg(*_amount_totals(), F.count_distinct("account_id").alias("account_count"), large.alias("large_count"))
         .select("day", *_amount_columns(), "account_count", "large_count", *_shown(left_out))
@@ -106,7 +116,7 @@ def daily(df: DataFrame, left_out: bool = False) -> DataFrame:
 def by_account(df: DataFrame, left_out: bool = False) -> DataFrame:
     """Sum, count, smallest and largest amount per account."""
     return (
-        df.filter(F.col("account_id").isNotNull())
+        _with_exact(df.filter(F.col("account_id").isNotNull()))
         .groupBy("account_id")
         .agg(*_amount_totals(), F.min("amount").alias("_min"), F.max("amount").alias("_max"))
         .select(

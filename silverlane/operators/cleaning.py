@@ -69,7 +69,7 @@ def fill_median(df: DataFrame, overrides: Overrides = None) -> DataFrame:
         as_number[name] = F.unix_micros(F.col(name).cast("timestamp")) if moment else F.col(name)
     numbers = df.select(*[value.alias(name) for name, value in as_number.items()])
     filled: dict[str, Column] = {}
-    for name, median in exact_quantiles(numbers, {name: 0.5 for name in targets}).items():
+    for name, median in exact_quantiles(numbers, {name: 0.5 for name in targets}, gaps_only=True).items():
         if median.nulls == 0 or median.value is None:
             continue
         if isinstance(types[name], (T.TimestampType, T.TimestampNTZType)):
@@ -124,15 +124,17 @@ def dedupe_business(df: DataFrame) -> DataFrame:
     """Keep the first of rows equal in all business columns; nulls are equal.
 
     Copies collapse before the shuffle. ``_copies`` tells how many rows each kept
-    row stands for.
+    row stands for. Rows are sorted for that; a hash as the first key spares most
+    comparisons of whole columns.
     """
     business, metadata = business_columns(df), metadata_columns(df)
     if ROW_SEQ not in metadata:
         raise ValueError(f"keep-first needs {ROW_SEQ} to know which row came first")
-    grouped = df.groupBy(*business)
+    hashed = [name for name in business if isinstance(df.schema[name].dataType, T.AtomicType)]
+    grouped = df.groupBy(*([F.xxhash64(*[F.col(f"`{name}`") for name in hashed]).alias("_hash")] if hashed else []), *business)
     copies = F.count(F.lit(1)).alias(COPIES)
     if metadata == [ROW_SEQ]:
-        return grouped.agg(F.min(ROW_SEQ).alias(ROW_SEQ), copies)
+        return grouped.agg(F.min(ROW_SEQ).alias(ROW_SEQ), copies).drop("_hash")
     first = F.min_by(F.struct(*metadata), F.col(ROW_SEQ)).alias("_first")
     kept = grouped.agg(first, copies)
     return kept.select(*[F.col(f"_first.{n}").alias(n) if n in metadata else F.col(n) for n in df.columns], COPIES)

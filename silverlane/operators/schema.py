@@ -6,6 +6,7 @@ A field table has one row per schema, snapshot and column:
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -231,7 +232,8 @@ def failed_rows(df: DataFrame, fields: list[Any] | None) -> Column:
     total = F.count(F.lit(1))
     if not fields or structural_failures(df, fields):
         return total
-    return F.count_if(F.size(errors(df.schema, schema_compile(fields))) > 0)
+    rules = schema_compile(fields)
+    return F.count_if(reduce(Column.__or__, [~predicate(rule, df.schema) for rule in rules], F.lit(False)))
 
 
 def schema_errors(df: DataFrame, fields: list[Any]) -> DataFrame:
