@@ -21,7 +21,7 @@ from silverlane.llm import words as W
 
 CACHE_ENTRIES = 1 << 20
 KEPT_BYTES = 64
-_JOIN_BYTES = 1 << 15
+_JOIN_BYTES = 1 << 12  # the library takes less time a byte for short strings than for long ones
 
 # Bytes that may follow a blank at a cut: ASCII but white space and controls, and the first byte of Latin letters.
 _ORDINARY = W._table([*range(0x21, 0x7F), *range(0xC3, 0xC7)])
@@ -145,7 +145,7 @@ class Encoder:
             self._keep(added[: len(kept)], new, data, starts[kept], widths[kept])
             known[rest] = added[number]
             known[single] = added[len(kept) :]
-        self.uses += np.bincount(known, minlength=len(self.uses)).astype(np.int32)
+        self.uses[: self.entries] += np.bincount(known, minlength=self.entries).astype(np.int32)
         return known
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
