@@ -153,8 +153,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
         F.ceil(F.greatest("ca", "cb") / MEMBERS_PER_TASK).cast("int").alias("parts"),
     ).withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
     visits = sent.select("k", "host", "part", F.lit(False).alias("own"))
-    hosts = sent.select(F.col("host").alias("k"), "host", "part", F.lit(True).alias("own")).distinct()
-    errands = stored(visits.unionAll(hosts).groupBy("k").agg(F.collect_list(F.struct("host", "part", "own")).alias("errands")), "errands")
+    hosts = sent.select(F.col("host").alias("k"), "host", "part", F.lit(True).alias("own"))
+    errands = stored(visits.unionAll(hosts).groupBy("k").agg(F.collect_set(F.struct("host", "part", "own")).alias("errands")), "errands")
     bound = _with_key(docs, errands, "inner", "k").select("key", "text", "errands")
     sets = bound.mapInArrow(lambda b: _errand_rows(b, n), "key bigint, host bigint, part int, own boolean, grams binary")
     dealt = sets.repartition("host", "part").sortWithinPartitions("host", "part", F.desc("own"))
@@ -220,7 +220,7 @@ def jaccard_groups(df: DataFrame, key: str, text: str, n: int, num: int, den: in
     rarity = np.zeros(1 << RARITY_BITS, dtype=np.uint32)
     summed = measured.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(
         _sum_counts, "chunk int, counts binary")
-    for row in summed.toLocalIterator():  # a table of fixed size
+    for row in summed.collect():  # a table of fixed size, 4 MB; one job, where a local iterator starts one per partition
         at = row["chunk"] << CHUNK_BITS
         rarity[at : at + (1 << CHUNK_BITS)] = np.frombuffer(row["counts"], dtype=np.uint32)
     shared = df.sparkSession.sparkContext.broadcast(rarity)
@@ -280,7 +280,8 @@ def _links(docs: DataFrame, prefixes: DataFrame, entries: DataFrame, n: int, num
         & (F.col("x_component") != F.col("y_component")) & _may_link(num, den, "x_", "y_"),
     ).select(F.col("x_key").alias("a"), F.col("y_key").alias("b")).distinct()
     more = stored(_verified(docs, open_pairs.join(seen, ["a", "b"], "left_anti"), n, num, den), "open-links")
-    return components(links.unionAll(more), "a", "b")
+    # What is joined already comes as one link a node.
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), "a", "b")
 
 
 def _leaders(round_: int, size: str = "n") -> list[Column]:

@@ -75,7 +75,7 @@ def write_token_files(
     """
     small_batches(df.sparkSession)
     folder = folder or work_path(df.sparkSession, "token-files")
-    dtype, width = _id_type(tokenizer_path)
+    dtype, width = _id_type(df.sparkSession, tokenizer_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from silverlane.llm.tokens import encoder
@@ -148,11 +148,16 @@ def write_token_files(
     )
 
 
-def _id_type(tokenizer_path: str) -> tuple[type, int]:
-    """Type of the ids of a tokenizer and how many bits they need."""
-    from tokenizers import Tokenizer
+def _id_type(spark, tokenizer_path: str) -> tuple[type, int]:
+    """Type of the ids of a tokenizer and how many bits they need. A task looks, so the driver never holds the vocabulary."""
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
+
+        for _ in batches:
+            most = max(Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values())
+            yield pa.RecordBatch.from_arrays([pa.array([most], type=pa.int64())], names=["most"])
 
-    most = max(Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values())
+    most = spark.range(1, numPartitions=1).mapInArrow(look, "most bigint").first()["most"]
     return (np.uint16 if most < 1 << 16 else np.uint32), max(1, int(most).bit_length())
 
 
