@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,12 @@ def small_batches(spark) -> None:
         spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system. Workers live on from task to task and keep it otherwise."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

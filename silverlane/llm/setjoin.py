@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from silverlane.functions.skew import attach_by_key
 from silverlane.llm import words as W
-from silverlane.llm.common import BROADCAST_KEYS, small_batches, stored, without_keys
+from silverlane.llm.common import BROADCAST_KEYS, give_back, small_batches, stored, without_keys
 from silverlane.llm.components import components
 
 RARITY_BITS = 20
@@ -61,6 +61,7 @@ def ngram_sets(texts: W.Texts, n: int) -> list[np.ndarray]:
 
 def _measure(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Size and signature of each set, and per task how many sets have an n-gram of each rarity bucket."""
+    give_back()
     counts = np.zeros(1 << RARITY_BITS, dtype=np.uint32)
     schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("same_a", pa.int64()), ("same_b", pa.int64()),
                         ("chunk", pa.int32()), ("counts", pa.binary())])
@@ -103,6 +104,7 @@ def prefix_length(size: int, num: int, den: int) -> int:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    give_back()
     rarity = shared.value
     for batch in batches:
         tokens, sizes, parities = [], [], []
@@ -169,6 +171,7 @@ def _errand_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Recor
         return pa.RecordBatch.from_arrays(
             [pa.array(c, type=t) for c, t in zip(columns, types)], names=["key", "host", "part", "own", "grams"])
 
+    give_back()
     rows, size = [], 0
     for batch in batches:
         errands, keys = batch.column(2).to_pylist(), batch.column(0).to_pylist()
@@ -187,6 +190,7 @@ def _errand_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Recor
 
 def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """A host's own set comes before those that visit it."""
+    give_back()
     host, own = None, np.zeros(0, dtype=np.uint64)
     for batch in (whole.slice(low, 256) for whole in batches for low in range(0, whole.num_rows, 256)):
         found = []

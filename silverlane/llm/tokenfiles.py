@@ -9,6 +9,7 @@ so a task that is run again or twice leaves at most files that nothing refers to
 
 from __future__ import annotations
 
+import sys
 import uuid
 import zlib
 from collections import Counter
@@ -115,6 +116,7 @@ def write_token_files(
             number, held = number + 1, 0
             return row
 
+        _encoded()
         _make(folder)
         for batch in batches:
             for here, key_value, packed in zip(*(c.to_pylist() for c in batch.columns)):
@@ -167,6 +169,7 @@ def read_token_files(files: DataFrame, key: str) -> DataFrame:
     The smallest key is read as null. Without files the result is empty.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoded()
         for row in (r for batch in batches for r in batch.to_pylist()):
             with _opened(row["path"]) as source:
                 file = wavelet.TokenFile(source)
@@ -209,6 +212,12 @@ def _dealt(files: DataFrame) -> DataFrame:
     return files.select("path", "start").repartition(min(max(1, files.count()), MAX_READERS))
 
 
+def _encoded() -> None:
+    """All texts are encoded before files are written or read, so what this worker kept for it is of no more use."""
+    if (tokens := sys.modules.get("silverlane.llm.tokens")) is not None:
+        tokens.forget()
+
+
 def _store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 

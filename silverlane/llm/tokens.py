@@ -18,6 +18,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 from silverlane.llm import words as W
+from silverlane.llm.common import give_back
 
 CACHE_ENTRIES = 1 << 20
 KEPT_BYTES = 64
@@ -229,10 +230,16 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker, with what it has encoded so far: some 100 MB at most."""
+    """The encoder of this worker, with what it has encoded so far: some 100 MB at most, until ``forget``."""
     return Encoder(path)
 
 
+def forget() -> None:
+    """Drop the encoders of this worker and their caches."""
+    encoder.cache_clear()
+    give_back()
+
+
 def encode_texts(tokenizer: Encoder, texts: list[str | None], end: int | None = None) -> list[list[int]]:
     """Ids of each text, for small inputs."""
     out = []

@@ -144,3 +144,26 @@ def test_parts_follow_each_other_with_a_hot_key_and_many_nulls(spark):
     keys = [-(1 << 62) if r.doc_id is None else r.doc_id for r in got]
     assert keys == sorted(keys) and sorted(keys) == sorted(-(1 << 62) if k is None else k for k, _ in rows)
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1]]
+
+
+def test_workers_keep_no_encoder_once_files_are_written(spark):
+    def kept(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for _ in batches:
+            module = sys.modules.get("silverlane.llm.tokens")
+            yield pa.RecordBatch.from_arrays([pa.array([module.encoder.cache_info().currsize if module else 0])], names=["n"])
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "64")
+        spark.conf.set(keys[1], "false")
+        files = write_token_files(documents(spark, ["a b", "c d", None], partitions=64), "doc_id", "text", PATH)
+        assert sorted(r.n_tokens for r in read_token_files(files, "doc_id").collect()) == [1, 3, 3]
+        assert spark.range(64, numPartitions=64).mapInArrow(kept, "n bigint").agg({"n": "max"}).first()[0] == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
